@@ -1,0 +1,70 @@
+"""The batch run: raw tables to fact, roll-ups, views and checks."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+from datetime import date, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+
+from drawdown.model import Tables
+from drawdown.operators import calendar, history, quality, rollups, views
+from drawdown.operators.contracts import active_contracts
+from drawdown.operators.metrics import account_fact, with_rep
+from drawdown.operators.usage import monthly_consumption
+from drawdown.sources import files
+
+
+@dataclass(frozen=True)
+class Run:
+    """What a run produced, each a lazily read table in ``root``."""
+
+    fact: DataFrame
+    outputs: dict[str, DataFrame]
+
+
+def build_all(
+    spark: SparkSession,
+    t: Tables,
+    as_of: date,
+    root: str,
+    run_ts: datetime,
+    run_id: str = "run",
+) -> Run:
+    """Every layer for one date.
+
+    The fact is the only expensive table. It is written once as a snapshot
+    partition and all roll-ups and views read it back, so the usage logs are
+    scanned once and a lost executor never sends a view back to them.
+    """
+    files.write_table(active_contracts(t.contracts, t.accounts, as_of), f"{root}/active_contracts")
+    files.write_table(
+        monthly_consumption(t, before=as_of.replace(day=1)), f"{root}/monthly_consumption"
+    )
+    snapshot = account_fact(t, as_of, with_rates=True, run_ts=run_ts)
+    files.write_snapshot(snapshot, f"{root}/account_fact")
+    fact = files.read_snapshots(spark, f"{root}/account_fact", snapshot.schema).filter(
+        f"as_of_date = date'{as_of.isoformat()}'"
+    )
+    owned = with_rep(fact, t.reps)
+    outputs = {
+        "dim_dates": calendar.dim_dates(spark),
+        "dim_accounts": history.dim_accounts(t.accounts),
+        "dim_reps": history.dim_reps(t.reps),
+        "dim_contracts": history.dim_contracts(t.contracts),
+        "rep_rollup": rollups.rep_rollup(fact, t.reps),
+        "rep_portfolio": rollups.rep_portfolio(fact, t.reps),
+        "account_detail": views.account_detail(owned),
+        "comp_input": rollups.comp_input(fact, t.reps),
+        "renewal_pipeline": views.renewal_pipeline(owned),
+        "org_summary": rollups.org_summary(fact, t.reps),
+        "dq_report": quality.dq_report(t, as_of),
+        "run_log": history.run_log(fact, t, run_id, run_ts),
+    }
+    written = {}
+    for name, df in outputs.items():
+        files.write_table(df, f"{root}/{name}")
+        written[name] = files.register_view(
+            spark.read.schema(df.schema).parquet(f"{root}/{name}"), name
+        )
+    return Run(fact=fact, outputs=written)
