@@ -379,7 +379,7 @@ def _stream_inactivity(spark: SparkSession, sf_dir: str) -> DataFrame:
         "account_id BIGINT, silent_since TIMESTAMP, alerted_at TIMESTAMP, events_before BIGINT"
     ).parquet(path)
     return alerts.select(
-        "account_id", F.unix_millis("silent_since").alias("silent_since_ms"), "events_before"
+        "account_id", F.unix_micros("silent_since").alias("silent_since_us"), "events_before"
     )
 
 
