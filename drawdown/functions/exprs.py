@@ -22,6 +22,8 @@ __all__ = [
     "sum_amount",
     "sum_where",
     "true_if",
+    "utc_clock",
+    "utc_instant",
 ]
 
 _ROUNDING = T.DecimalType(28, 8)
@@ -86,3 +88,15 @@ def avg_exact(rate: Column, kind: T.DecimalType = RATE) -> Column:
 def true_if(condition: Column) -> Column:
     """TRUE when the condition holds, FALSE when it is false or unknown."""
     return F.coalesce(condition, F.lit(False))
+
+
+def utc_instant(clock: Column) -> Column:
+    """Instant of a zone-free clock reading taken as UTC, whatever the session zone."""
+    return F.timestamp_seconds(F.lit(0)) + (clock - F.expr("timestamp_ntz'1970-01-01 00:00:00'"))
+
+
+def utc_clock(instant: Column) -> Column:
+    """UTC clock reading of an instant, whatever the session zone."""
+    return F.expr("timestamp_ntz'1970-01-01 00:00:00'") + (
+        instant - F.timestamp_seconds(F.lit(0))
+    )

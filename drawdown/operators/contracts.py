@@ -82,34 +82,43 @@ def active_contracts(
     )
 
 
-def coverage(contracts: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
-    """Days a (known) account is under contract: disjoint pieces, one month each.
-
-    Columns ``account_id, _month, _from, _to``. A day belongs to at most one
-    piece, so joining usage to it never multiplies rows, and the (account,
-    month) key spreads an account's history over many tasks.
-    """
-    spans = merged_intervals(contracts, "account_id", "start_date", "end_date")
-    if accounts is not None:
-        spans = spans.join(accounts.select("account_id"), "account_id", "left_semi")
-    pieces = by_month(spans, "start_date", "end_date")
-    return pieces.select(
+def covered_spans(contracts: DataFrame) -> DataFrame:
+    """Disjoint closed intervals under contract per account (few rows per account)."""
+    return merged_intervals(
+        contracts.select("account_id", "start_date", "end_date"),
         "account_id",
-        "_month",
-        F.greatest("start_date", "_month").alias("_from"),
-        F.least("end_date", F.last_day("_month")).alias("_to"),
+        "start_date",
+        "end_date",
     )
 
 
 def contract_months(contracts: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
-    """Allowance per account and calendar month, summed over all valid contracts."""
+    """Allowance and covered days per account and calendar month, over valid contracts.
+
+    ``covered_days`` has bit d-1 set when day d of the month lies in at least one
+    contract: the union of all intervals as one integer, combined map-side like
+    the sum next to it. ``accounts`` clears it for accounts that do not exist.
+    """
     months = by_month(contracts, "start_date", "end_date", "usage_month")
+    first = F.dayofmonth(F.greatest("start_date", "usage_month"))
+    last = F.dayofmonth(F.least("end_date", F.last_day("usage_month")))
+    one = F.lit(1).cast("long")
+    days = F.call_function("shiftleft", one, last) - F.call_function("shiftleft", one, first - 1)
     grid = months.groupBy("account_id", "usage_month").agg(
-        F.sum("included_monthly_compute_credits").alias("included_monthly_compute_credits")
+        F.sum("included_monthly_compute_credits").alias("included_monthly_compute_credits"),
+        F.bit_or(days).alias("covered_days"),
     )
     if accounts is None:
         return grid
-    return grid.join(accounts.select("account_id"), "account_id", "left_semi")
+    known = accounts.select("account_id", F.lit(True).alias("_known"))
+    return grid.join(known, "account_id", "left").withColumn(
+        "covered_days", F.when(F.col("_known"), F.col("covered_days")).otherwise(F.lit(0))
+    ).drop("_known")
+
+
+def is_covered(day: Column, covered_days: Column) -> Column:
+    """Whether a day is one of its month's covered days."""
+    return F.call_function("getbit", covered_days, F.dayofmonth(day) - 1) == 1
 
 
 def contract_types(contracts: DataFrame) -> DataFrame:

@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 
 from drawdown.functions import as_date, month_of, null_least, ratio
 from drawdown.model import AMOUNT, RATE_CAP, Tables
-from drawdown.operators.contracts import active_contracts, contract_months, coverage
+from drawdown.operators.contracts import (
+    active_contracts,
+    contract_months,
+    covered_spans,
+    is_covered,
+)
 from drawdown.operators.skew import salted_join
 
 _LOG_SPREAD = ["log_id", "date", "compute_credits_consumed"]
@@ -29,24 +34,24 @@ def orphaned_logs(logs: DataFrame, accounts: DataFrame) -> DataFrame:
     )
 
 
-def _by_contract(logs: DataFrame, pieces: DataFrame, how: str) -> DataFrame:
-    rows = logs.withColumn("_month", month_of(F.col("date")))
-    inside = F.col("date").between(F.col("_from"), F.col("_to"))
-    return salted_join(
-        rows, pieces, ["account_id", "_month"], how, _LOG_SPREAD, residual=inside
-    ).select(*logs.columns)
+def _by_contract(logs: DataFrame, spans: DataFrame, how: str) -> DataFrame:
+    inside = F.col("date").between(F.col("start_date"), F.col("end_date"))
+    return salted_join(logs, spans, ["account_id"], how, _LOG_SPREAD, residual=inside).select(
+        *logs.columns
+    )
 
 
 def in_contract_logs(logs: DataFrame, accounts: DataFrame, contracts: DataFrame) -> DataFrame:
     """Logs of known accounts dated inside a valid contract, at row grain, once each."""
-    return _by_contract(logs, coverage(contracts, accounts), "left_semi")
+    spans = covered_spans(contracts).join(accounts.select("account_id"), "account_id", "left_semi")
+    return _by_contract(logs, spans, "left_semi")
 
 
 def out_of_contract_usage(
     logs: DataFrame, accounts: DataFrame, contracts: DataFrame
 ) -> DataFrame:
     """Logs of known accounts dated outside every valid contract, at row grain."""
-    return _by_contract(orphan_guard(logs, accounts), coverage(contracts), "left_anti")
+    return _by_contract(orphan_guard(logs, accounts), covered_spans(contracts), "left_anti")
 
 
 def daily_totals(logs: DataFrame) -> DataFrame:
@@ -67,11 +72,20 @@ def guarded_daily(t: Tables, before: date | None = None) -> DataFrame:
     ``before`` bounds the scan by a plain comparison on the log date, which
     Parquet and date-partitioned storage can prune on.
     """
+    daily = _daily_before(t, before)
+    months = contract_months(t.contracts, t.accounts).select(
+        "account_id", F.col("usage_month").alias("_month"), "covered_days"
+    )
+    return (
+        daily.join(months, ["account_id", "_month"])
+        .filter(is_covered(F.col("date"), F.col("covered_days")))
+        .select("account_id", "_month", "date", "credits", "log_count")
+    )
+
+
+def _daily_before(t: Tables, before: date | None) -> DataFrame:
     logs = t.logs if before is None else t.logs.filter(F.col("date") < as_date(before))
-    daily = daily_totals(logs).withColumn("_month", month_of(F.col("date")))
-    return daily.join(coverage(t.contracts, t.accounts), ["account_id", "_month"]).filter(
-        F.col("date").between(F.col("_from"), F.col("_to"))
-    ).select("account_id", "_month", "date", "credits", "log_count")
+    return daily_totals(logs).withColumn("_month", month_of(F.col("date")))
 
 
 def monthly_usage(t: Tables, before: date | None = None) -> DataFrame:
@@ -130,24 +144,35 @@ def monthly_consumption(
 ) -> DataFrame:
     """Zero-filled account-month grid with the capped consumption rate.
 
+    Grid and daily totals meet once, on (account, month): the grid row carries
+    the covered days, so the contract guard is a bit test and the sum after the
+    join needs no further shuffle.
+
     ``before``, the first day of a month, leaves out that month and later ones.
     """
-    grid = contract_months(t.contracts)
+    grid = contract_months(t.contracts, t.accounts)
     if before is not None:
         grid = grid.filter(F.col("usage_month") < as_date(before))
-    used = F.coalesce(F.col("credits_consumed"), F.lit(0.0))
-    raw = ratio(used, F.col("included_monthly_compute_credits"))
-    return (
-        grid.join(monthly_usage(t, before), ["account_id", "usage_month"], "left")
-        .select(
-            "account_id",
-            "usage_month",
-            "included_monthly_compute_credits",
-            used.alias("credits_consumed"),
-            F.coalesce("active_usage_days", F.lit(0)).alias("active_usage_days"),
-            null_least(raw, F.lit(float(rate_cap))).alias("consumption_rate"),
-            (used == 0).alias("is_zero_usage_month"),
-        )
+    daily = _daily_before(t, before).select(
+        F.col("account_id").alias("_acct"), "_month", "date", "credits"
+    )
+    match = (
+        (F.col("account_id") == F.col("_acct"))
+        & (F.col("usage_month") == F.col("_month"))
+        & is_covered(F.col("date"), F.col("covered_days"))
+    )
+    used = F.coalesce(F.sum("credits").cast("double"), F.lit(0.0))
+    monthly = (
+        grid.join(daily, match, "left")
+        .groupBy("account_id", "usage_month", "included_monthly_compute_credits")
+        .agg(used.alias("credits_consumed"), F.count("date").alias("active_usage_days"))
+    )
+    credits = F.col("credits_consumed")
+    raw = ratio(credits, F.col("included_monthly_compute_credits"))
+    return monthly.select(
+        "*",
+        null_least(raw, F.lit(float(rate_cap))).alias("consumption_rate"),
+        (credits == 0).alias("is_zero_usage_month"),
     )
 
 

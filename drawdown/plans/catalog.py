@@ -8,7 +8,7 @@ from datetime import date, datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drawdown.functions import round_half_up
+from drawdown.functions import round_half_up, utc_clock
 from drawdown.model import Tables
 from drawdown.operators import (
     calendar,
@@ -337,7 +337,7 @@ def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.schema(
         "log_id BIGINT, account_id BIGINT, ts TIMESTAMP, credits DOUBLE"
     ).parquet(path)
-    return rows.select("log_id", "account_id", F.to_date("ts").alias("date"), "credits")
+    return rows.select("log_id", "account_id", utc_clock(F.col("ts")).cast("date").alias("date"), "credits")
 
 
 def event_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -376,10 +376,10 @@ def _stream_inactivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     stream = jobs.inactivity(_events(spark, sf_dir), quiet="12 hours")
     path = jobs.run_available(spark, stream, "silence")
     alerts = spark.read.schema(
-        "account_id BIGINT, silent_since TIMESTAMP, alerted_at TIMESTAMP, events_before BIGINT"
+        "account_id BIGINT, silent_since TIMESTAMP_NTZ, alerted_at TIMESTAMP_NTZ, events_before BIGINT"
     ).parquet(path)
     return alerts.select(
-        "account_id", F.unix_micros("silent_since").alias("silent_since_us"), "events_before"
+        "account_id", F.date_format("silent_since", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("silent_since"), "events_before"
     )
 
 

@@ -824,7 +824,7 @@ _SQL["stream_guarded"] = """SELECT event_id AS log_id, user_id AS account_id, CA
       AND DATE '2023-12-25' + CAST(c_custkey % 20 AS INTEGER) + 15) THEN 'accepted' ELSE 'rejected' END AS route FROM events"""
 _SQL["stream_inactivity"] = """WITH s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS island FROM
       (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS fresh FROM events))
-    SELECT user_id AS account_id, epoch_us(max(ts)) AS silent_since_us, count(*) AS events_before FROM s GROUP BY user_id, island
+    SELECT user_id AS account_id, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS silent_since, count(*) AS events_before FROM s GROUP BY user_id, island
     HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""
 
 

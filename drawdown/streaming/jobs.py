@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drawdown.functions import month_of
-from drawdown.operators.contracts import coverage
+from drawdown.functions import utc_clock, utc_instant
+from drawdown.operators.contracts import covered_spans
 from drawdown.operators.skew import salted_join
 from drawdown.session import work_dir
 
@@ -32,7 +32,7 @@ def usage_events(events: DataFrame) -> DataFrame:
     return events.select(
         F.col("event_id").alias("log_id"),
         F.col("user_id").alias("account_id"),
-        F.col("ts").cast("timestamp").alias("ts"),
+        utc_instant(F.col("ts")).alias("ts"),
         F.col("value").alias("credits"),
     )
 
@@ -47,7 +47,10 @@ def daily_usage(stream: DataFrame, lateness: str = "2 days") -> DataFrame:
             F.count(F.lit(1)).alias("log_count"),
         )
         .select(
-            "account_id", F.col("w.start").cast("date").alias("date"), "credits_consumed", "log_count"
+            "account_id",
+            utc_clock(F.col("w.start")).cast("date").alias("date"),
+            "credits_consumed",
+            "log_count",
         )
     )
 
@@ -69,19 +72,20 @@ def guarded(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = (
-            batch.withColumn("date", F.to_date("ts"))
-            .withColumn("_month", month_of(F.to_date("ts")))
+            batch.withColumn("date", utc_clock(F.col("ts")).cast("date"))
             .withColumn("batch_id", F.lit(batch_id))
             .persist()
         )
-        pieces = coverage(contracts, accounts)
-        inside = F.col("date").between(F.col("_from"), F.col("_to"))
+        spans = covered_spans(contracts).join(
+            accounts.select("account_id"), "account_id", "left_semi"
+        )
+        inside = F.col("date").between(F.col("start_date"), F.col("end_date"))
         for how, path in (("left_semi", accepted_path), ("left_anti", rejected_path)):
             (
                 salted_join(
-                    rows, pieces, ["account_id", "_month"], how, ["log_id", "ts"], residual=inside
+                    rows, spans, ["account_id"], how, ["log_id", "ts"], residual=inside
                 )
-                .drop("_month")
+                .select(*rows.columns)
                 .write.mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy("batch_id")
@@ -105,8 +109,8 @@ def inactivity(stream: DataFrame, quiet: str = "30 days", lateness: str = "1 hou
         .agg(F.count(F.lit(1)).alias("events_before"))
         .select(
             "account_id",
-            (F.col("w.end") - gap).alias("silent_since"),
-            F.col("w.end").alias("alerted_at"),
+            utc_clock(F.col("w.end") - gap).alias("silent_since"),
+            utc_clock(F.col("w.end")).alias("alerted_at"),
             "events_before",
         )
     )
