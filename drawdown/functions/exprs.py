@@ -8,19 +8,23 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drawdown.model import AMOUNT, RATE
+from drawdown.model import AMOUNT, RATE, UNITS_PER_CREDIT
 
 __all__ = [
     "as_date",
     "avg_exact",
     "count_where",
+    "from_units",
+    "month_number",
     "month_of",
+    "month_start",
     "null_greatest",
     "null_least",
     "ratio",
     "round_half_up",
     "sum_amount",
     "sum_where",
+    "to_units",
     "true_if",
     "utc_clock",
     "utc_instant",
@@ -39,6 +43,15 @@ def month_of(day: Column) -> Column:
     return F.trunc(day, "month")
 
 
+def month_number(day: Column) -> Column:
+    """Months since year 0: a join and grouping key cheaper than a date."""
+    return F.year(day) * 12 + F.month(day) - 1
+
+
+def month_start(number: Column) -> Column:
+    return F.make_date(F.floor(number / 12).cast("int"), number % 12 + 1, F.lit(1))
+
+
 def null_least(a: Column, b: Column) -> Column:
     """Smaller of two values, NULL when either is NULL (``least`` skips NULLs)."""
     return F.when(a.isNotNull() & b.isNotNull(), F.least(a, b))
@@ -63,10 +76,19 @@ def round_half_up(value: Column, places: int) -> Column:
 
 
 def sum_amount(value: Column) -> Column:
-    """Order-independent sum of money or credits, returned as double."""
+    """Order-independent sum of money, returned as double."""
     return F.sum(value.cast(AMOUNT)).cast("double")
 
 
+def to_units(credits: Column) -> Column:
+    """Credits as whole ten-thousandths: exact, and summed as plain longs."""
+    return F.rint(credits * UNITS_PER_CREDIT).cast("long")
+
+
+def from_units(units: Column) -> Column:
+    return units / F.lit(float(UNITS_PER_CREDIT))
+
+
 def sum_where(condition: Column, value: Column) -> Column:
     """Sum over the rows that meet a condition, zero when none does."""
     return F.sum(F.when(condition, value).otherwise(F.lit(0)))

@@ -29,8 +29,9 @@ TIER_RISK = {
     "Expansion": 1,
 }
 
-# Credits and dollars are summed as exact decimals so that results do not
-# depend on the order in which partitions arrive.
+# Dollars are summed as exact decimals and credits as whole ten-thousandths, so
+# that results do not depend on the order in which partitions arrive.
+UNITS_PER_CREDIT = 10000
 AMOUNT = T.DecimalType(18, 2)
 RATE = T.DecimalType(18, 12)
 

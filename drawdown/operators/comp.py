@@ -10,9 +10,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from drawdown.functions import (
-    as_date,
     avg_exact,
-    month_of,
+    month_number,
     null_greatest,
     null_least,
     ratio,
@@ -107,21 +106,19 @@ def contract_year_rates(t: Tables, as_of: date) -> DataFrame:
     """
     before = as_of.replace(day=1)
     rates = monthly_consumption(t, before=before).select(
-        "account_id", F.col("usage_month").alias("_month"), "consumption_rate"
+        "account_id", month_number(F.col("usage_month")).alias("_month"), "consumption_rate"
     )
     terms = valid_contracts(t.contracts).select(
         "contract_id", "account_id", "owner_id", "start_date", "annual_commit_dollars",
         _years().alias("term_years"),
     ).filter(F.col("term_years") >= 1)
     years = terms.withColumn("year", F.explode(F.sequence(F.lit(1), F.col("term_years"))))
-    opening = F.add_months(month_of(F.col("start_date")), (F.col("year") - 1) * 12)
-    closing = F.least(F.add_months(opening, 11), F.add_months(as_date(before), -1))
+    opening = month_number(F.col("start_date")) + (F.col("year") - 1) * 12
+    closing = F.least(opening + 11, F.lit(before.year * 12 + before.month - 2))
     months = (
         years.select("contract_id", "account_id", "year", opening.alias("_from"), closing.alias("_to"))
         .filter(F.col("_to") >= F.col("_from"))
-        .withColumn(
-            "_month", F.explode(F.sequence("_from", "_to", F.expr("interval 1 month")))
-        )
+        .withColumn("_month", F.explode(F.sequence("_from", "_to")))
         .select("contract_id", "account_id", "year", "_month")
     )
     means = (

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from drawdown.functions import as_date, month_of
+from drawdown.functions import as_date, month_number
 from drawdown.operators.skew import SALTS, by_month, merged_intervals, salted_join
 
 
@@ -92,28 +92,52 @@ def covered_spans(contracts: DataFrame) -> DataFrame:
     )
 
 
-def contract_months(contracts: DataFrame, accounts: DataFrame | None = None) -> DataFrame:
-    """Allowance and covered days per account and calendar month, over valid contracts.
+def contract_months(
+    contracts: DataFrame, accounts: DataFrame | None = None, before: date | None = None
+) -> DataFrame:
+    """Allowance and covered days per account and month number, over valid contracts.
 
     ``covered_days`` has bit d-1 set when day d of the month lies in at least one
     contract: the union of all intervals as one integer, combined map-side like
-    the sum next to it. ``accounts`` clears it for accounts that do not exist.
+    the sum next to it (bits of days a month lacks may be set; no date asks for
+    them). Contracts with the same dates are added up before they
+    are spread over months. ``accounts`` clears it for accounts that do not
+    exist; ``before`` leaves out the month of that date and later ones.
     """
-    months = by_month(contracts, "start_date", "end_date", "usage_month")
-    first = F.dayofmonth(F.greatest("start_date", "usage_month"))
-    last = F.dayofmonth(F.least("end_date", F.last_day("usage_month")))
+    valid = valid_contracts(contracts)
+    last = month_number(F.col("end_date"))
+    if before is not None:
+        valid = valid.filter(F.col("start_date") < as_date(before.replace(day=1)))
+        last = F.least(last, F.lit(before.year * 12 + before.month - 2))
+    spans = valid.groupBy("account_id", "start_date", "end_date").agg(
+        F.sum("included_monthly_compute_credits").alias("included_monthly_compute_credits")
+    )
+    # Bits from the first day on, and bits up to the last day, once per span.
     one = F.lit(1).cast("long")
-    days = F.call_function("shiftleft", one, last) - F.call_function("shiftleft", one, first - 1)
-    grid = months.groupBy("account_id", "usage_month").agg(
+    months = spans.select(
+        "account_id",
+        "included_monthly_compute_credits",
+        month_number(F.col("start_date")).alias("_first"),
+        month_number(F.col("end_date")).alias("_last"),
+        (-F.call_function("shiftleft", one, F.dayofmonth("start_date") - 1)).alias("_since"),
+        (F.call_function("shiftleft", one, F.dayofmonth("end_date")) - 1).alias("_until"),
+        F.explode(F.sequence(month_number(F.col("start_date")), last)).alias("_month"),
+    )
+    every = F.lit((1 << 31) - 1)
+    since = F.when(F.col("_month") == F.col("_first"), F.col("_since")).otherwise(every)
+    until = F.when(F.col("_month") == F.col("_last"), F.col("_until")).otherwise(every)
+    days = since.bitwiseAND(until).bitwiseAND(every)
+    grid = months.groupBy("account_id", "_month").agg(
         F.sum("included_monthly_compute_credits").alias("included_monthly_compute_credits"),
         F.bit_or(days).alias("covered_days"),
     )
     if accounts is None:
         return grid
     known = accounts.select("account_id", F.lit(True).alias("_known"))
-    return grid.join(known, "account_id", "left").withColumn(
-        "covered_days", F.when(F.col("_known"), F.col("covered_days")).otherwise(F.lit(0))
-    ).drop("_known")
+    covered = F.when(F.col("_known"), F.col("covered_days")).otherwise(F.lit(0))
+    return (
+        grid.join(known, "account_id", "left").withColumn("covered_days", covered).drop("_known")
+    )
 
 
 def is_covered(day: Column, covered_days: Column) -> Column:
@@ -181,7 +205,7 @@ def overlapping_pairs(contracts: DataFrame, salts: int = SALTS) -> DataFrame:
     of the answer; ``overlap_profile`` answers how many without listing them.
     """
     running = by_month(_sided(contracts, 1), "c1_start", "c1_end")
-    starting = _sided(contracts, 2).withColumn("_month", month_of(F.col("c2_start")))
+    starting = _sided(contracts, 2).withColumn("_month", month_number(F.col("c2_start")))
     later = (F.col("c2_start") > F.col("c1_start")) | (
         (F.col("c2_start") == F.col("c1_start")) & (F.col("contract_2") > F.col("contract_1"))
     )
@@ -314,7 +338,7 @@ def owner_as_of(events: DataFrame, history: DataFrame, day: str, horizon) -> Dat
         "effective_from",
         "_until",
     )
-    rows = events.withColumn("_row_month", month_of(F.col(day)))
+    rows = events.withColumn("_row_month", month_number(F.col(day)))
     match = (
         (F.col("account_id") == F.col("_acct"))
         & (F.col("_row_month") == F.col("_month"))

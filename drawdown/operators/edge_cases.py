@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from drawdown.functions import as_date, avg_exact, month_of, ratio, round_half_up
+from drawdown.functions import as_date, avg_exact, from_units, month_number, month_of, ratio, round_half_up
 from drawdown.model import OVERAGE_RATE, Tables
 from drawdown.operators.contracts import accounts_with_overlap
 from drawdown.operators.quality import out_of_contract
@@ -22,8 +22,12 @@ def _monthly_credits(t: Tables) -> DataFrame:
     return (
         daily_totals(t.logs)
         .groupBy("account_id", month_of(F.col("date")).alias("usage_month"))
-        .agg(F.sum("credits").alias("credits"), F.min("date").alias("first_day"),
-             F.max("date").alias("last_day"), F.sum("log_count").alias("log_count"))
+        .agg(
+            F.sum("units").alias("units"),
+            F.min("date").alias("first_day"),
+            F.max("date").alias("last_day"),
+            F.sum("log_count").alias("log_count"),
+        )
     )
 
 
@@ -34,13 +38,13 @@ def spike_drop_accounts(
     monthly = _monthly_credits(t)
     if spike_month is None:
         # min_by over account-months: one bounded row per month and account.
-        spike = F.min_by("credits", "usage_month")
+        spike = F.min_by("units", "usage_month")
     else:
         spike = F.sum(
-            F.when(F.col("usage_month") == as_date(spike_month), F.col("credits")).otherwise(0)
+            F.when(F.col("usage_month") == as_date(spike_month), F.col("units")).otherwise(0)
         )
     totals = monthly.groupBy("account_id").agg(
-        spike.alias("month_1"), F.sum("credits").alias("total")
+        from_units(spike).alias("month_1"), from_units(F.sum("units")).alias("total")
     )
     part = ratio(F.col("month_1"), F.col("total"))
     left = F.col("total") - F.col("month_1")
@@ -83,12 +87,12 @@ def consistent_overage(
         F.count(F.lit(1)).alias("copies"),
     )
     pieces = by_month(spans, "start_date", "end_date")
-    daily = daily_totals(t.logs).withColumn("_month", month_of(F.col("date")))
+    daily = daily_totals(t.logs).withColumn("_month", month_number(F.col("date")))
     covered = daily.join(pieces, ["account_id", "_month"]).filter(
         F.col("date").between(F.col("start_date"), F.col("end_date"))
     )
     monthly = covered.groupBy("account_id", "_month").agg(
-        F.sum(F.col("credits") * F.col("copies")).cast("double").alias("credits"),
+        from_units(F.sum(F.col("units") * F.col("copies"))).alias("credits"),
         F.max("allowance").alias("allowance"),
     )
     rate = ratio(F.col("credits"), F.col("allowance"))
@@ -113,7 +117,7 @@ def orphan_profile(t: Tables) -> DataFrame:
             F.sum("log_count").alias("orphan_log_count"),
             F.min("first_day").alias("earliest_log"),
             F.max("last_day").alias("latest_log"),
-            round_half_up(F.sum("credits"), 0).alias("total_credits"),
+            round_half_up(from_units(F.sum("units")), 0).alias("total_credits"),
         )
     )
     return per_account.join(t.accounts.select("account_id"), "account_id", "left_anti")

@@ -8,7 +8,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from drawdown.functions import as_date, avg_exact, month_of, ratio, round_half_up, true_if
+from drawdown.functions import (
+    as_date,
+    avg_exact,
+    from_units,
+    month_of,
+    ratio,
+    round_half_up,
+    to_units,
+    true_if,
+)
 from drawdown.model import OVERAGE_RATE, RAMP_DAYS, TRAILING_MONTHS, Tables
 from drawdown.operators.contracts import active_contracts, at_dates
 from drawdown.operators.usage import active_daily_usage
@@ -116,9 +125,9 @@ def rolling_rates(t: Tables, as_of: date, windows: tuple[int, ...] = (7, 30, 90)
     allowance = F.col("included_monthly_compute_credits")
     sums = [
         F.coalesce(
-            F.sum(
-                F.when(F.col("date") > F.date_sub(as_date(as_of), w), F.col("credits"))
-            ).cast("double"),
+            from_units(
+                F.sum(F.when(F.col("date") > F.date_sub(as_date(as_of), w), F.col("units")))
+            ),
             F.lit(0.0),
         ).alias(f"credits_{w}d")
         for w in windows
@@ -135,21 +144,24 @@ def rolling_rates(t: Tables, as_of: date, windows: tuple[int, ...] = (7, 30, 90)
 
 
 def rolling_rates_daily(daily: DataFrame, windows: tuple[int, ...] = (7, 30, 90)) -> DataFrame:
-    """Rolling rates for every day of the daily grain.
+    """Rolling rates for every day of the (gapless) daily grain.
 
-    The frame is a range over day numbers; a window group is one account's
-    contract days, so it is bounded by the calendar.
+    A window of W days is the difference of two running totals W rows apart, so
+    the cost per row does not grow with W. A window group is one account's
+    contract days, bounded by the calendar.
     """
-    order = W.partitionBy("account_id").orderBy("_n")
+    order = W.partitionBy("account_id").orderBy("date")
     allowance = F.col("included_monthly_compute_credits")
-    out = daily.withColumn("_n", F.unix_date("date"))
+    running = F.sum(to_units(F.col("daily_credits_consumed"))).over(
+        order.rowsBetween(W.unboundedPreceding, 0)
+    )
+    totals = daily.withColumn("_running", running)
     rates = []
     for w in windows:
-        total = F.sum(F.col("daily_credits_consumed").cast("decimal(18,2)")).over(
-            order.rangeBetween(-(w - 1), 0)
-        )
-        rates.append(ratio(total, allowance * F.lit(w) / F.lit(30.0)).alias(f"rate_{w}d"))
-    return out.select("account_id", "date", *rates)
+        total = F.col("_running") - F.coalesce(F.lag("_running", w).over(order), F.lit(0))
+        share = allowance * F.lit(w) / F.lit(30.0)
+        rates.append(ratio(from_units(total), share).alias(f"rate_{w}d"))
+    return totals.select("account_id", "date", *rates)
 
 
 def early_shelfware_streak(t: Tables, as_of: date, below: float = 0.05, days: int = 30) -> DataFrame:
@@ -159,7 +171,7 @@ def early_shelfware_streak(t: Tables, as_of: date, below: float = 0.05, days: in
     day gives its length without materialising quiet days.
     """
     allowance = F.col("included_monthly_compute_credits") / F.lit(30.0)
-    busy = ratio(F.col("credits"), allowance) >= below
+    busy = ratio(from_units(F.col("units")), allowance) >= below
     since = F.coalesce(
         F.date_add(F.max(F.when(busy, F.col("date"))), 1), F.col("contract_start_date")
     )
@@ -201,13 +213,13 @@ def _blocks(t: Tables, as_of: date, length: int, ramping_only: bool = False) ->
         sparse.filter(F.col("date").isNotNull())
         .withColumn("block", F.floor(F.datediff(as_date(as_of), F.col("date")) / length).cast("int"))
         .groupBy("account_id", "block")
-        .agg(F.sum("credits").alias("credits"))
+        .agg(F.sum("units").alias("units"))
     )
     share = F.col("included_monthly_compute_credits") * F.lit(length) / F.lit(30.0)
     return grid.join(used, ["account_id", "block"], "left").select(
         "account_id",
         "block",
-        ratio(F.coalesce(F.col("credits").cast("double"), F.lit(0.0)), share).alias("rate"),
+        ratio(F.coalesce(from_units(F.col("units")), F.lit(0.0)), share).alias("rate"),
     )
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from drawdown.functions.exprs import month_of
+from drawdown.functions.exprs import month_number
 
 SALTS = 16
 
@@ -44,10 +44,8 @@ def salted_join(
 
 
 def by_month(df: DataFrame, start: str, end: str, month: str = "_month") -> DataFrame:
-    """One row per calendar month a closed date interval touches."""
-    months = F.sequence(
-        month_of(F.col(start)), month_of(F.col(end)), F.expr("interval 1 month")
-    )
+    """One row per calendar month (as a month number) a closed date interval touches."""
+    months = F.sequence(month_number(F.col(start)), month_number(F.col(end)))
     return df.filter(F.col(end) >= F.col(start)).withColumn(month, F.explode(months))
 
 

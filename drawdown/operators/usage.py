@@ -8,8 +8,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from drawdown.functions import as_date, month_of, null_least, ratio
-from drawdown.model import AMOUNT, RATE_CAP, Tables
+from drawdown.functions import (
+    as_date,
+    from_units,
+    month_number,
+    month_of,
+    month_start,
+    null_least,
+    ratio,
+    to_units,
+)
+from drawdown.model import RATE_CAP, Tables
 from drawdown.operators.contracts import (
     active_contracts,
     contract_months,
@@ -55,13 +64,13 @@ def out_of_contract_usage(
 
 
 def daily_totals(logs: DataFrame) -> DataFrame:
-    """Credits and log count per account and day.
+    """Credits (in units) and log count per account and day.
 
     Every metric starts here: partial sums leave the scan, and a hot account is
     spread over its days before anything is joined to it.
     """
     return logs.groupBy("account_id", "date").agg(
-        F.sum(F.col("compute_credits_consumed").cast(AMOUNT)).alias("credits"),
+        F.sum(to_units(F.col("compute_credits_consumed"))).alias("units"),
         F.count(F.lit(1)).alias("log_count"),
     )
 
@@ -74,29 +83,35 @@ def guarded_daily(t: Tables, before: date | None = None) -> DataFrame:
     """
     daily = _daily_before(t, before)
     months = contract_months(t.contracts, t.accounts).select(
-        "account_id", F.col("usage_month").alias("_month"), "covered_days"
+        "account_id", "_month", "covered_days"
     )
     return (
         daily.join(months, ["account_id", "_month"])
         .filter(is_covered(F.col("date"), F.col("covered_days")))
-        .select("account_id", "_month", "date", "credits", "log_count")
+        .select("account_id", "_month", "date", "units", "log_count")
     )
 
 
 def _daily_before(t: Tables, before: date | None) -> DataFrame:
     logs = t.logs if before is None else t.logs.filter(F.col("date") < as_date(before))
-    return daily_totals(logs).withColumn("_month", month_of(F.col("date")))
+    return daily_totals(logs).withColumn("_month", month_number(F.col("date")))
 
 
 def monthly_usage(t: Tables, before: date | None = None) -> DataFrame:
     """Credits and days with usage per account and month, guards applied."""
     return (
         guarded_daily(t, before)
-        .groupBy("account_id", F.col("_month").alias("usage_month"))
+        .groupBy("account_id", "_month")
         .agg(
-            F.sum("credits").cast("double").alias("credits_consumed"),
+            from_units(F.sum("units")).alias("credits_consumed"),
             F.count(F.lit(1)).alias("active_usage_days"),
         )
+        .select(
+            "account_id",
+            month_start(F.col("_month")).alias("usage_month"),
+            "credits_consumed",
+            "active_usage_days",
+        )
     )
 
 
@@ -122,17 +137,17 @@ def monthly_usage_fanout(t: Tables) -> DataFrame:
     )
     daily = daily_totals(t.logs).join(t.accounts.select("account_id"), "account_id", "left_semi")
     timeline = marks.select(
-        "account_id", "date", "delta", F.lit(None).cast("decimal(28,2)").alias("credits")
+        "account_id", "date", "delta", F.lit(None).cast("long").alias("units")
     ).unionByName(
-        daily.select("account_id", "date", F.lit(0).cast("long").alias("delta"), "credits")
+        daily.select("account_id", "date", F.lit(0).cast("long").alias("delta"), "units")
     )
     upto = W.partitionBy("account_id").orderBy("date").rangeBetween(W.unboundedPreceding, 0)
     covered = (
         timeline.withColumn("_covers", F.sum("delta").over(upto))
-        .filter(F.col("credits").isNotNull() & (F.col("_covers") > 0))
+        .filter(F.col("units").isNotNull() & (F.col("_covers") > 0))
         .groupBy("account_id", month_of(F.col("date")).alias("usage_month"))
         .agg(
-            F.sum(F.col("credits") * F.col("_covers")).cast("double").alias("credits_consumed"),
+            from_units(F.sum(F.col("units") * F.col("_covers"))).alias("credits_consumed"),
             F.count(F.lit(1)).alias("active_usage_days"),
         )
     )
@@ -150,27 +165,29 @@ def monthly_consumption(
 
     ``before``, the first day of a month, leaves out that month and later ones.
     """
-    grid = contract_months(t.contracts, t.accounts)
-    if before is not None:
-        grid = grid.filter(F.col("usage_month") < as_date(before))
+    grid = contract_months(t.contracts, t.accounts, before)
     daily = _daily_before(t, before).select(
-        F.col("account_id").alias("_acct"), "_month", "date", "credits"
+        F.col("account_id").alias("_acct"), F.col("_month").alias("_m"), "date", "units"
     )
     match = (
         (F.col("account_id") == F.col("_acct"))
-        & (F.col("usage_month") == F.col("_month"))
+        & (F.col("_month") == F.col("_m"))
         & is_covered(F.col("date"), F.col("covered_days"))
     )
-    used = F.coalesce(F.sum("credits").cast("double"), F.lit(0.0))
+    used = F.coalesce(from_units(F.sum("units")), F.lit(0.0))
     monthly = (
         grid.join(daily, match, "left")
-        .groupBy("account_id", "usage_month", "included_monthly_compute_credits")
+        .groupBy("account_id", "_month", "included_monthly_compute_credits")
         .agg(used.alias("credits_consumed"), F.count("date").alias("active_usage_days"))
     )
     credits = F.col("credits_consumed")
     raw = ratio(credits, F.col("included_monthly_compute_credits"))
     return monthly.select(
-        "*",
+        "account_id",
+        month_start(F.col("_month")).alias("usage_month"),
+        "included_monthly_compute_credits",
+        "credits_consumed",
+        "active_usage_days",
         null_least(raw, F.lit(float(rate_cap))).alias("consumption_rate"),
         (credits == 0).alias("is_zero_usage_month"),
     )
@@ -191,8 +208,8 @@ def daily_consumption(t: Tables, as_of: date) -> DataFrame:
     )
     days = F.sequence(F.col("contract_start_date"), as_date(as_of), F.expr("interval 1 day"))
     spine = active.withColumn("date", F.explode(days))
-    usage = guarded_daily(t, as_of + timedelta(days=1)).select("account_id", "date", "credits")
-    credits = F.coalesce(F.col("credits").cast("double"), F.lit(0.0))
+    usage = guarded_daily(t, as_of + timedelta(days=1)).select("account_id", "date", "units")
+    credits = F.coalesce(from_units(F.col("units")), F.lit(0.0))
     allowance = F.col("included_monthly_compute_credits") / F.lit(30.0)
     return spine.join(usage, ["account_id", "date"], "left").select(
         "account_id",
@@ -214,7 +231,7 @@ def active_daily_usage(t: Tables, as_of: date, days_back: int | None = None) ->
     usage = guarded_daily(t, as_of + timedelta(days=1))
     if days_back is not None:
         usage = usage.filter(F.col("date") > F.date_sub(as_date(as_of), days_back))
-    usage = usage.select(F.col("account_id").alias("_acct"), "date", "credits")
+    usage = usage.select(F.col("account_id").alias("_acct"), "date", "units")
     match = (F.col("account_id") == F.col("_acct")) & (
         F.col("date") >= F.col("contract_start_date")
     )

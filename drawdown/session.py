@@ -25,6 +25,9 @@ def local_session(cpus: int | str = 8, partitions: int = 8) -> SparkSession:
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.driver.memory", "8g")
+        # Tables of a few MB grow many times over when intervals are spread over
+        # days and months, so a single machine keeps its partitions small.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
         .getOrCreate()
     )
