@@ -13,7 +13,7 @@ from drawdown.functions import as_date, avg_exact, from_units, month_number, mon
 from drawdown.model import OVERAGE_RATE, Tables
 from drawdown.operators.contracts import accounts_with_overlap
 from drawdown.operators.quality import out_of_contract
-from drawdown.operators.skew import by_month
+from drawdown.operators.skew import by_month, salted_join
 from drawdown.operators.usage import daily_totals
 
 
@@ -63,7 +63,9 @@ def _accounts_with_logs(t: Tables) -> DataFrame:
 def shelfware_accounts(t: Tables) -> DataFrame:
     """Contracts of accounts that never logged usage."""
     quiet = t.accounts.join(_accounts_with_logs(t), "account_id", "left_anti")
-    return t.contracts.join(quiet.drop("employee_id"), "account_id").select(
+    return salted_join(
+        t.contracts, quiet.drop("employee_id"), ["account_id"], spread=["contract_id"]
+    ).select(
         "account_id",
         "contract_id",
         "company_name",

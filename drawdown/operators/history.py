@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from drawdown.functions import as_date, count_where, ratio, round_half_up, true_if
 from drawdown.model import ATTAINMENT_TARGET, SHELFWARE_TARGET, Tables
 from drawdown.operators.contracts import active_at, valid_contracts
-from drawdown.operators.skew import ordinal
+from drawdown.operators.skew import ordinal, salted_join
 
 
 def snapshot_corrections(before: DataFrame, after: DataFrame) -> DataFrame:
@@ -266,7 +266,7 @@ def key_remap(
     numbered = ordinal(source, bucket, source_order, "_pos")
     targets = ordinal(target.select(*bucket, F.col(key).alias("_new")), bucket, "_new", "_at")
     sizes = targets.groupBy(*bucket).agg(F.count(F.lit(1)).alias("_size"))
-    placed = numbered.join(sizes, bucket, "left").withColumn(
+    placed = salted_join(numbered, sizes, bucket, "left", spread=["_pos"]).withColumn(
         "_at", F.pmod(F.col("_pos") - 1, F.col("_size")) + 1
     )
     return placed.join(targets, [*bucket, "_at"], "left").select(

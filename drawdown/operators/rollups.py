@@ -227,9 +227,9 @@ _SUMMED = (
 
 
 def _total(grouped) -> DataFrame:
+    """Measures of a group of rep rows; a rep has one row per group, so rows are reps."""
     return grouped.agg(
-        *[F.sum(c).alias(c) for c in _SUMMED],
-        F.count_distinct("employee_id").alias("total_reps"),
+        *[F.sum(c).alias(c) for c in _SUMMED], F.count(F.lit(1)).alias("total_reps")
     )
 
 
@@ -262,23 +262,21 @@ def summarise(fact: DataFrame, reps: DataFrame, by: list[str]) -> DataFrame:
 
 
 def org_summary(fact: DataFrame, reps: DataFrame) -> DataFrame:
-    """Region rows plus one org row that re-divides the summed regions."""
+    """Region rows plus an org row that re-divides the summed measures, in one pass."""
     rows = rep_measures(fact).join(reps, "employee_id")
-    region = _total(rows.groupBy("region", "as_of_date"))
-    columns = ["rollup_level", "region", "as_of_date"]
-    regional = region.withColumn("rollup_level", F.lit("region")).select(
-        *columns, *_summary_columns()
+    region, day = F.col("region"), F.col("as_of_date")
+    total = rows.groupingSets([[region, day], [day]], region, day).agg(
+        F.grouping("region").alias("is_org"),
+        *[F.sum(c).alias(c) for c in _SUMMED],
+        F.count(F.lit(1)).alias("total_reps"),
     )
-    # The org's reps are the regions' rep counts added up, as its rates are
-    # re-divided sums; few rows arrive here, one per region and date.
-    org = (
-        region.groupBy("as_of_date")
-        .agg(*[F.sum(c).alias(c) for c in (*_SUMMED, "total_reps")])
-        .withColumn("rollup_level", F.lit("org_total"))
-        .withColumn("region", F.lit("All Regions"))
-        .select(*columns, *_summary_columns())
+    is_org = F.col("is_org") == 1
+    return total.select(
+        F.when(is_org, "org_total").otherwise("region").alias("rollup_level"),
+        F.when(is_org, "All Regions").otherwise(F.col("region")).alias("region"),
+        "as_of_date",
+        *_summary_columns(),
     )
-    return regional.unionByName(org)
 
 
 def cohort_summary(fact: DataFrame, reps: DataFrame, fy_start_month: int = 8) -> DataFrame:

@@ -23,6 +23,7 @@ from drawdown.operators import (
     views,
 )
 from drawdown.operators.metrics import account_fact, with_rep
+from drawdown.session import materialise, work_dir
 from drawdown.sources import tpch
 from drawdown.streaming import jobs
 
@@ -221,7 +222,9 @@ _add(
 
 
 def _view_checks(t: Tables) -> DataFrame:
-    fact, owned = _fact(t), _owned(t, with_rates=True)
+    # Five views read the fact; it is computed once.
+    fact = materialise(_fact(t, with_rates=True), "view-checks")
+    owned = with_rep(fact, t.reps)
     return quality.view_checks(
         views.account_detail(owned),
         rollups.rep_portfolio(fact, t.reps),
@@ -353,8 +356,6 @@ def event_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stream_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from drawdown.session import work_dir
-
     root = work_dir(spark, "guarded")
     accounts = tpch.accounts(spark, sf_dir).select("account_id")
     sink = jobs.guarded(

@@ -49,13 +49,13 @@ def write_table(df: DataFrame, path: str) -> None:
 def write_usage(df: DataFrame, path: str) -> None:
     """Usage logs laid out by month, so date-bounded jobs read only their months.
 
-    Rows are spread over the files of a month by account and day, so no writer
-    holds a hot account alone.
+    Ranges over (month, account, day, log) give each writer one stretch of a
+    month: few files per month, and a hot account is cut into several ranges.
     """
     month = F.trunc("date", "month")
     (
         df.withColumn("usage_month", month)
-        .repartition("usage_month", "account_id", "date")
+        .repartitionByRange("usage_month", "account_id", "date", "log_id")
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("usage_month")
