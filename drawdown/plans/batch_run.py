@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from drawdown.model import Tables
 from drawdown.operators import calendar, history, quality, rollups, views
 from drawdown.operators.contracts import active_contracts
-from drawdown.operators.metrics import account_fact, with_rep
+from drawdown.operators.metrics import account_metrics, with_rep
+from drawdown.operators.rates import trailing_stats
 from drawdown.operators.usage import monthly_consumption
 from drawdown.sources import files
 
@@ -33,15 +34,20 @@ def build_all(
 ) -> Run:
     """Every layer for one date.
 
-    The fact is the only expensive table. It is written once as a snapshot
-    partition and all roll-ups and views read it back, so the usage logs are
-    scanned once and a lost executor never sends a view back to them.
+    Each layer is written once and the next reads it back: the metric scans the
+    usage logs a single time (the quality checks have their own scans), and a
+    lost executor never sends a view back to them.
     """
-    files.write_table(active_contracts(t.contracts, t.accounts, as_of), f"{root}/active_contracts")
-    files.write_table(
-        monthly_consumption(t, before=as_of.replace(day=1)), f"{root}/monthly_consumption"
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        files.write_table(df, f"{root}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{root}/{name}")
+
+    active = stored(active_contracts(t.contracts, t.accounts, as_of), "active_contracts")
+    monthly = stored(monthly_consumption(t, before=as_of.replace(day=1)), "monthly_consumption")
+    snapshot = account_metrics(
+        active, trailing_stats(monthly, as_of), with_rates=True, run_ts=run_ts
     )
-    snapshot = account_fact(t, as_of, with_rates=True, run_ts=run_ts)
     files.write_snapshot(snapshot, f"{root}/account_fact")
     fact = files.read_snapshots(spark, f"{root}/account_fact", snapshot.schema).filter(
         f"as_of_date = date'{as_of.isoformat()}'"
@@ -63,8 +69,5 @@ def build_all(
     }
     written = {}
     for name, df in outputs.items():
-        files.write_table(df, f"{root}/{name}")
-        written[name] = files.register_view(
-            spark.read.schema(df.schema).parquet(f"{root}/{name}"), name
-        )
+        written[name] = files.register_view(stored(df, name), name)
     return Run(fact=fact, outputs=written)

@@ -14,7 +14,7 @@ from drawdown.model import ACCOUNT_FACT
 from drawdown.operators.calendar import dim_dates
 from drawdown.operators.metrics import account_fact
 from drawdown.plans import catalog
-from drawdown.plans.pipeline import build_all
+from drawdown.plans.batch_run import build_all
 from drawdown.session import materialise, work_dir
 from drawdown.sources import files, tpch
 from drawdown.streaming import jobs
