@@ -19,7 +19,6 @@ from drawdown.functions import (
 )
 from drawdown.model import Tables
 from drawdown.operators.contracts import valid_contracts
-from drawdown.operators.skew import salted_join
 from drawdown.operators.usage import monthly_consumption
 
 
@@ -100,9 +99,9 @@ def bookings_attainment(contracts: DataFrame, plan: CompPlan = PLAN) -> DataFram
 def contract_year_rates(t: Tables, as_of: date) -> DataFrame:
     """Mean account rate in each contract year, NULL before its first complete month.
 
-    Years are listed per contract from its term. Months of a contract meet the
-    account's monthly rate on (account, month); the monthly side has one row
-    per key, so it is the side that is repeated when an account is hot.
+    A contract year's mean depends only on the account and the month the year
+    opens, so means are taken once per (account, opening month), however many
+    contracts share it, and then attached to the contracts.
     """
     before = as_of.replace(day=1)
     rates = monthly_consumption(t, before=before).select(
@@ -112,21 +111,27 @@ def contract_year_rates(t: Tables, as_of: date) -> DataFrame:
         "contract_id", "account_id", "owner_id", "start_date", "annual_commit_dollars",
         _years().alias("term_years"),
     ).filter(F.col("term_years") >= 1)
-    years = terms.withColumn("year", F.explode(F.sequence(F.lit(1), F.col("term_years"))))
-    opening = month_number(F.col("start_date")) + (F.col("year") - 1) * 12
-    closing = F.least(opening + 11, F.lit(before.year * 12 + before.month - 2))
+    years = (
+        terms.withColumn("year", F.explode(F.sequence(F.lit(1), F.col("term_years"))))
+        .withColumn("_opening", month_number(F.col("start_date")) + (F.col("year") - 1) * 12)
+        .drop("start_date")
+    )
+    newest = F.lit(before.year * 12 + before.month - 2)
+    closing = F.least(F.col("_opening") + 11, newest)
     months = (
-        years.select("contract_id", "account_id", "year", opening.alias("_from"), closing.alias("_to"))
-        .filter(F.col("_to") >= F.col("_from"))
-        .withColumn("_month", F.explode(F.sequence("_from", "_to")))
-        .select("contract_id", "account_id", "year", "_month")
+        years.filter(F.col("_opening") <= newest)
+        .select("account_id", "_opening")
+        .distinct()
+        .withColumn("_month", F.explode(F.sequence(F.col("_opening"), closing)))
     )
+    # The openings look small enough to broadcast, but not once spread over months.
     means = (
-        salted_join(months, rates, ["account_id", "_month"], spread=["contract_id"])
-        .groupBy("contract_id", "year")
+        months.hint("merge")
+        .join(rates, ["account_id", "_month"])
+        .groupBy("account_id", "_opening")
         .agg(avg_exact(F.col("consumption_rate")).alias("rate"))
     )
-    return years.drop("start_date").join(means, ["contract_id", "year"], "left")
+    return years.join(means, ["account_id", "_opening"], "left").drop("_opening")
 
 
 def _yearly(t: Tables, as_of: date) -> DataFrame:

@@ -25,7 +25,9 @@ def salted_join(
     ``spread`` names columns of ``big`` that differ between the rows of one key.
     ``small`` has few rows per key and is repeated once per part, so a key that
     holds a third of ``big`` is shared by that many tasks. Only join types that
-    keep or drop rows of ``big`` are meaningful (inner, left, semi, anti).
+    keep or drop rows of ``big`` are meaningful (inner, left, semi, anti). Should
+    Spark measure ``small`` below its broadcast threshold, what it broadcasts is
+    at most ``salts`` times that threshold.
     """
     part = F.pmod(F.xxhash64(*(spread or big.columns)), F.lit(salts)).cast("int")
     left = big.withColumn("_part", part)
