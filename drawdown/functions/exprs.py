@@ -30,7 +30,8 @@ __all__ = [
     "utc_instant",
 ]
 
-_ROUNDING = T.DecimalType(28, 8)
+_MONEY_DIGITS = T.DecimalType(28, 6)
+_RATE_DIGITS = T.DecimalType(28, 8)
 
 
 def as_date(value: date | str | Column) -> Column:
@@ -67,12 +68,13 @@ def ratio(numerator: Column, denominator: Column) -> Column:
 
 
 def round_half_up(value: Column, places: int) -> Column:
-    """Round half away from zero, decided on eight decimal digits.
+    """Round half away from zero, decided on six decimal digits (eight for rates).
 
     Going through a decimal keeps the result independent of how a binary
     double happens to sit around a tie.
     """
-    return F.round(value.cast(_ROUNDING), places).cast("double")
+    digits = _MONEY_DIGITS if places <= 2 else _RATE_DIGITS
+    return F.round(value.cast(digits), places).cast("double")
 
 
 def sum_amount(value: Column) -> Column:

@@ -14,7 +14,8 @@ M = "DATE '2000-06-01'"
 
 
 def rnd(x: str, n: int) -> str:
-    return f"CAST(round(CAST({x} AS DECIMAL(28,8)), {n}) AS DOUBLE)"
+    digits = 6 if n <= 2 else 8
+    return f"CAST(round(CAST({x} AS DECIMAL(28,{digits})), {n}) AS DOUBLE)"
 
 
 def div(a: str, b: str) -> str:
@@ -588,7 +589,7 @@ _SQL["dq_orphaned_usage"] = f"""WITH bad AS (SELECT account_id, count(*) AS orph
     {_rows('orphan_count DESC, account_id', 'account_id', 'orphan_count')} AS sample_rows FROM bad"""
 _SQL["dq_out_of_contract"] = _check("out_of_contract", "WARNING", "count(*) = 0", "count(*)",
     "count(*) || ' log rows with usage outside all contract windows'", "''", "rogue_logs")
-_PCT = "CAST(CAST(round(CAST({0} * 100 AS DECIMAL(28,8)), 1) AS DECIMAL(10,1)) AS VARCHAR) || '%'"
+_PCT = "CAST(CAST(round(CAST({0} * 100 AS DECIMAL(28,6)), 1) AS DECIMAL(10,1)) AS VARCHAR) || '%'"
 _SQL["dq_shelfware_rate"] = f"""WITH c AS (SELECT count(*) AS active_accounts, {cnt('u.account_id IS NULL')} AS zero_usage_accounts
       FROM (SELECT DISTINCT account_id FROM contracts WHERE {D} BETWEEN start_date AND end_date) a LEFT JOIN
       (SELECT DISTINCT account_id FROM logs WHERE date BETWEEN {D} - 90 AND {D} AND compute_credits_consumed > 0) u USING (account_id)),
