@@ -6,23 +6,23 @@ from __future__ import annotations
 OP8 = r"""
 WITH item_words AS (
   SELECT DISTINCT item_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM benchmark WHERE item_id IS NOT NULL
 ), windows AS (
-  SELECT DISTINCT item_id, w[at : at + 9] AS words
-  FROM item_words, unnest(generate_series(1, greatest(1, len(w) - 9))) AS s(at) WHERE len(w) > 0
+  SELECT DISTINCT item_id, w[pos : pos + 9] AS words
+  FROM item_words, unnest(generate_series(1, greatest(1, len(w) - 9))) AS s(pos) WHERE len(w) > 0
 ), docs AS (
   SELECT DISTINCT doc_id, text, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), x -> x <> '') AS w
+    'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
   FROM documents
 ), lengths AS (SELECT DISTINCT len(words) AS n FROM windows),
 places AS (
-  SELECT doc_id, text, n, at, w[at : at + n - 1] AS words
-  FROM docs, lengths, unnest(generate_series(1, len(w) - n + 1)) AS s(at)
+  SELECT doc_id, text, n, pos, w[pos : pos + n - 1] AS words
+  FROM docs, lengths, unnest(generate_series(1, len(w) - n + 1)) AS s(pos)
 ), found AS (
-  SELECT p.doc_id, p.text, p.at, p.n, v.item_id FROM places p JOIN windows v ON p.words = v.words
+  SELECT p.doc_id, p.text, p.pos, p.n, v.item_id FROM places p JOIN windows v ON p.words = v.words
 ), hits AS (
-  SELECT doc_id, text, count(DISTINCT at + k) AS n_hit
+  SELECT doc_id, text, count(DISTINCT pos + k) AS n_hit
   FROM found, unnest(generate_series(0, n - 1)) AS s(k) GROUP BY ALL
 ), items AS (
   SELECT doc_id, text, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
