@@ -37,6 +37,8 @@ LENGTH, LEAD = 100, 32
 SPREAD = LENGTH - LEAD + 1
 #: Bytes of text whose runs are found at once, runs per shuffle partition, open runs sorted at once.
 CHUNK, PER_PART, SORTED = 1_500_000, 1_000_000, 10_000
+#: A run travels as its number of suffixes plus this times its anchor's distance from the first.
+SHIFT = 1024
 NO_ID = 9223372036854775807
 RUNS = "lead BIGINT, body BIGINT, doc BIGINT, start BIGINT, size INT"
 SPANS = "doc BIGINT, start BIGINT, size INT, open BOOLEAN"
@@ -73,7 +75,7 @@ def _sliding_minimum(x: np.ndarray, width: int) -> np.ndarray:
 
 
 def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Lead hash, body hash, number of the text, first place in `data` and number of suffixes of each run.
+    """Lead hash, body hash, number of the text, first place in `data` and size (with the anchor, see SHIFT) of each run.
 
     `data` are the bytes of several texts one behind another, `ends` where each of them ends.
     """
@@ -103,7 +105,7 @@ def runs(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, ...]:
         body = (sums[first + size + LENGTH - 1] - sums[first]) * rising[first]
         # Where the anchor stands in it, and how long it is, belong to a run.
         body = _mix(body + (anchor - first).astype(np.uint64) * _BASE + size.astype(np.uint64) * _BACK)
-        return leads[anchor], body, owner, first, size
+        return leads[anchor], body, owner, first, size + SHIFT * (anchor - first)
 
 
 def _merged(doc: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -145,8 +147,7 @@ def _find_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = np.maximum.accumulate(np.where(again, 0, np.arange(len(lead))))
         later = (doc != doc[head]) | (start != start[head])
         yield _batch(RUNS, [lead[~again], body[~again], doc[~again], start[~again], size[~again]])
-        d, s, e = _merged(doc[later], start[later], start[later] + size[later] + LENGTH - 1)
-        # A stretch of several pieces if it is longer than the number type of sizes.
+        d, s, e = _merged(doc[later], start[later], start[later] + size[later] % SHIFT + LENGTH - 1)
         yield _batch(RUNS, [[None] * len(d), [None] * len(d), d, s, e - s])
 
     ids, texts, held = [], [], 0
@@ -184,7 +185,7 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     later = (doc != doc[head]) | (start != start[head])
     kinds = np.bincount(np.cumsum(new_lead) - 1, weights=fresh)[np.cumsum(new_lead) - 1]
     opened = ~later & fresh & (kinds > 1)
-    d, s, e = _merged(doc[later], start[later], start[later] + size[later] + LENGTH - 1)
+    d, s, e = _merged(doc[later], start[later], start[later] + size[later] % SHIFT + LENGTH - 1)
     yield _batch(SPANS, [d, s, e - s, np.zeros(len(d), bool)])
     yield _batch(SPANS, [doc[opened], start[opened], size[opened], np.ones(opened.sum(), bool)])
 
@@ -199,11 +200,9 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for doc, text, starts, sizes in zip(*[batch.column(k).to_pylist() for k in range(4)]):
             raw = (text or "").encode("utf-8", "surrogatepass")
             for start, size in zip(starts, sizes):
+                anchor, size = divmod(size, SHIFT)
                 piece = raw[start : start + size + LENGTH - 1]
                 if len(piece) == size + LENGTH - 1:
-                    lead, _, _, _, _ = runs(np.frombuffer(piece, dtype=np.uint8), np.array([len(piece)]))
-                    letters = _lead_hashes(_TABLE[np.frombuffer(piece, dtype=np.uint8)])
-                    anchor = int(np.flatnonzero(letters == lead[0])[0])
                     out.append((piece[anchor : anchor + LEAD], piece, doc, start, size))
         yield _batch(OPEN, list(zip(*out)) or [[]] * 5)
 
