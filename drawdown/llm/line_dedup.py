@@ -5,7 +5,7 @@ from one to the other; shorter ones only when they are equal. Equal lines collap
 cut into edits + 1 segments; among them at least one survives `edits` edits unchanged. The segments are the index, keyed by
 (l, segment number, content). A line probes it for each length from its own down to `edits` less, with the substrings that
 can align with the segment when the edits are shared out between its two sides (multi-match-aware selection). Pairs that
-meet are verified with a banded bit-parallel edit distance.
+meet, and whose counts of some letters are no further apart than `edits` edits can bring them, are verified with a banded bit-parallel edit distance.
 
 Everything is DataFrame operations. The first shuffle combines equal lines beforehand, so a line that fills a third of the
 table arrives as one row per task; the key of the join holds the length, so that a frequent beginning of lines does not
@@ -13,7 +13,8 @@ gather all of them; skewed partitions of the join can be split.
 
 Defined results: lines are what stands between \\n; a line without a word is no line here and always stays; order is
 (doc_id, line number), with null ids last; null texts have no lines; rows that repeat id and text are one document and all
-keep what it keeps. Classes are told apart by 128 bits of hash.
+keep what it keeps. A class is the lines of one 64-bit hash; where a second hash shows that two texts share it, none of that
+class's lines is linked or removed.
 """
 
 from __future__ import annotations
@@ -22,17 +23,20 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drawdown.llm.common import NOT_BLANK, let, whole
+from drawdown.session import materialise
 
 NO_ID = 9223372036854775807
+#: Frequent letters of Latin scripts, whose counts a line carries.
+LETTERS = "etaonsrd"
 # Room for the line number in the order key.
 LINES = 10_000_000_000
 
 
 def lines(documents: DataFrame, *more: Column) -> DataFrame:
-    """doc_id, line_no, line, h1, h2 of each line with a word, and what else of the document is asked for."""
+    """doc_id, line_no, line, hash, check of each line with a word, and what else of the document is asked for."""
     split = documents.select("doc_id", *more, F.posexplode(F.split(whole("text"), "\n")).alias("line_no", "line"))
     return split.filter(F.col("line").rlike(NOT_BLANK)).select(
-        "*", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2")
+        "*", F.xxhash64("line").alias("hash"), F.xxhash64(F.lit(1), "line").alias("check")
     )
 
 
@@ -42,51 +46,70 @@ def _order() -> Column:
     ).cast("decimal(11,0)")
 
 
-def classes(documents: DataFrame) -> DataFrame:
-    """h1, h2, line, first (order of the first copy), n_copies per class of equal lines."""
-    return (
-        lines(documents)
-        .select("h1", "h2", "line", _order().cast("decimal(38,0)").alias("order"))
-        .groupBy("h1", "h2")
-        .agg(F.first("line").alias("line"), F.min("order").alias("first"), F.count(F.lit(1)).alias("n_copies"))
+def classes(documents: DataFrame, texts: bool = True) -> DataFrame:
+    """hash, first (order of the first copy), n_copies, pure (one text only) and, if asked for, line and marks per class."""
+    order = lines(documents).select("hash", "check", "line", _order().cast("decimal(38,0)").alias("order"))
+    if texts:
+        order = order.withColumn("marks", marks(F.col("line")))
+    line = [F.first("line").alias("line"), F.first("marks").alias("marks")] if texts else []
+    return order.groupBy("hash").agg(
+        *line,
+        F.min("order").alias("first"),
+        F.count(F.lit(1)).alias("n_copies"),
+        (F.min("check") == F.max("check")).alias("pure"),
     )
 
 
-def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
-    """1-based place and length of each segment; the last ones are longer by one where it does not divide."""
-    parts = edits + 1
-    short = F.floor(length / parts).cast("int")
-    longer = length - short * parts
-    out = []
-    for i in range(parts):
-        extra = F.greatest(F.lit(0), longer - (parts - i))
-        size = short + F.when(F.lit(parts - i) <= longer, 1).otherwise(0)
-        out.append((short * i + extra + 1, size))
-    return out
-
-
-def _key(length: Column, i: int, piece: Column) -> Column:
-    return F.xxhash64(length, F.lit(i), piece)
+def _segment(length: Column, i: Column, edits: int) -> tuple[Column, Column]:
+    """1-based place and length of a segment; the last ones are longer by one where the line does not divide."""
+    parts = F.lit(edits + 1)
+    longer = length % parts
+    short = ((length - longer) / parts).cast("int")
+    return short * i + F.greatest(F.lit(0), longer - (parts - i)) + 1, short + (parts - i <= longer).cast("int")
 
 
-def index_keys(line: Column, length: Column, edits: int) -> Column:
-    return F.array(
-        *[_key(length, i, F.substring(line, at, size)) for i, (at, size) in enumerate(_segments(length, edits))]
+def marks(line: Column) -> Column:
+    """Counts of some letters, modulo 16, four bits each; an edit changes one count, or two of them, by one."""
+    size = F.octet_length(line)
+    return F.aggregate(
+        F.array(*[F.lit(x) for x in LETTERS]),
+        F.lit(0),
+        lambda bits, x: F.shiftleft(bits, 4).bitwiseOR((size - F.octet_length(F.replace(line, x, F.lit("")))) % 16),
     )
 
 
-def probe_keys(line: Column, length: Column, edits: int) -> Column:
-    """Keys of the substrings that must be looked up for lines of the same length or up to `edits` shorter."""
-    keys = []
-    for less in range(edits + 1):
-        for i, (at, size) in enumerate(_segments(length - less, edits)):
-            low = max(-i, less - (edits - i))
-            high = min(i, less + (edits - i))
-            for shift in range(low, high + 1):
-                begin = at + shift
-                inside = (begin >= 1) & (begin + size - 1 <= length)
-                keys.append(F.when(inside, _key(length - less, i, F.substring(line, begin, size))))
-    return F.array_distinct(F.array(*keys))
+def _apart(a: Column, b: Column) -> Column:
+    """Least number of letters that must change by one to lead from one line's marks to the other's."""
+    total = F.lit(0)
+    for k in range(len(LETTERS)):
+        x, y = (F.shiftrightunsigned(m, 4 * k).bitwiseAND(F.lit(15)) for m in (a, b))
+        gap = F.abs(x - y)
+        total = total + F.least(gap, 16 - gap)
+    return total
+
+
+def index_keys(long_lines: DataFrame, edits: int) -> DataFrame:
+    """key, hash, marks of each segment of each line."""
+    rows = long_lines.select("hash", "marks", "line", "length", F.explode(F.sequence(F.lit(0), F.lit(edits))).alias("i"))
+    at, size = _segment(F.col("length"), F.col("i"), edits)
+    return rows.select(F.xxhash64("length", "i", F.substring(F.col("line"), at, size)).alias("key"), "hash", "marks")
+
+
+def probe_keys(long_lines: DataFrame, edits: int) -> DataFrame:
+    """key, hash, marks, less (how much shorter) of each substring to look up among lines of the same length or up to `edits` shorter."""
+    looks = [
+        F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
+        for less in range(edits + 1)
+        for i in range(edits + 1)
+        for shift in range(max(-i, less - (edits - i)), min(i, less + (edits - i)) + 1)
+    ]
+    rows = long_lines.select("hash", "marks", "line", "length", F.explode(F.array(*looks)).alias("look"))
+    rows = rows.select("hash", "marks", "line", "length", "look.*", (F.col("length") - F.col("look.less")).alias("other"))
+    at, size = _segment(F.col("other"), F.col("i"), edits)
+    begin = at + F.col("shift")
+    return rows.filter((begin >= 1) & (begin + size - 1 <= F.col("length"))).select(
+        F.xxhash64("other", "i", F.substring(F.col("line"), begin, size)).alias("key"), "hash", "marks", "less"
+    )
 
 
 def within_edits(a: Column, b: Column, edits: int) -> Column:
@@ -143,43 +166,42 @@ def within_edits(a: Column, b: Column, edits: int) -> Column:
     return let(F.struct(a.alias("a"), b.alias("b")), body)
 
 
-def links(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> tuple[DataFrame, DataFrame]:
-    """The classes, and the pairs of classes (a and b, by their hashes) that are within `edits`, each once."""
-    every = classes(documents)
-    length = F.length("line")
-    long_lines = every.filter(length >= min_chars).select("h1", "h2", "line", "first", length.alias("length"))
-    found = long_lines.select(
-        F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.explode(index_keys(F.col("line"), F.col("length"), edits)).alias("key")
+def links(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
+    """Pairs of classes within `edits`: a, a_first, b, b_first (hashes and orders)."""
+    # Both the keys and the verification read this one shuffle, so both name all that it carries.
+    long_lines = (
+        classes(documents)
+        .filter(F.col("pure") & F.col("first").isNotNull() & F.col("marks").isNotNull() & (F.length("line") >= min_chars))
+        .select("hash", "line", "marks", "first", F.length("line").alias("length"))
     )
-    asked = long_lines.select(
-        F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.explode(probe_keys(F.col("line"), F.col("length"), edits)).alias("key")
-    ).filter(F.col("key").isNotNull())
-    different = (F.col("a1") != F.col("b1")) | (F.col("a2") != F.col("b2"))
-    pairs = found.join(asked, "key").filter(different).select("a1", "a2", "b1", "b2").distinct()
-    texts = long_lines.select("h1", "h2", "line", "first")
-    left = texts.toDF("a1", "a2", "a", "a_first")
-    right = texts.toDF("b1", "b2", "b", "b_first")
-    checked = (
-        pairs.join(left, ["a1", "a2"])
-        .join(right, ["b1", "b2"])
-        .filter(within_edits(F.split("a", ""), F.split("b", ""), edits))
+    found = index_keys(long_lines, edits).toDF("key", "b", "b_marks")
+    asked = probe_keys(long_lines, edits).toDF("key", "a", "a_marks", "less")
+    # Lines that share a segment and little else are told apart inside the join; of two lines of one length one asks.
+    close = _apart(F.col("a_marks"), F.col("b_marks")) <= 2 * edits
+    once = (F.col("a") < F.col("b")) | ((F.col("a") != F.col("b")) & (F.col("less") > 0))
+    pairs = found.join(asked, "key").filter(once & close).select("a", "b").distinct()
+    left = long_lines.select(F.col("hash").alias("a"), F.col("line").alias("a_line"), F.col("first").alias("a_first"))
+    right = long_lines.select(F.col("hash").alias("b"), F.col("line").alias("b_line"), F.col("first").alias("b_first"))
+    return (
+        pairs.join(left, "a")
+        .join(right, "b")
+        .filter(within_edits(F.split("a_line", ""), F.split("b_line", ""), edits))
+        .select("a", "a_first", "b", "b_first")
     )
-    return every, checked.select("a1", "a2", "a_first", "b1", "b2", "b_first")
 
 
 def judged(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
-    """h1, h2, first, n_copies, n_links, first_link per class; a class with an earlier link goes."""
-    every, pairs = links(documents, edits, min_chars)
-    there = pairs.select("a1", "a2", F.col("b1").alias("o1"), F.col("b2").alias("o2"), F.col("b_first").alias("other"))
-    back = pairs.select("b1", "b2", "a1", "a2", "a_first").toDF("a1", "a2", "o1", "o2", "other")
+    """hash, first, n_copies, pure, n_links, first_link per class; a class with an earlier link goes."""
+    pairs = materialise(links(documents, edits, min_chars), "line-links")
+    there = pairs.select(F.col("a").alias("hash"), F.col("b").alias("to"), F.col("b_first").alias("other"))
+    back = pairs.select(F.col("b").alias("hash"), F.col("a").alias("to"), F.col("a_first").alias("other"))
     linked = (
         there.unionByName(back)
         .distinct()
-        .groupBy("a1", "a2")
+        .groupBy("hash")
         .agg(F.count(F.lit(1)).alias("n_links"), F.min("other").alias("first_link"))
-        .toDF("h1", "h2", "n_links", "first_link")
     )
-    return every.select("h1", "h2", "first", "n_copies").join(linked, ["h1", "h2"], "left")
+    return classes(documents, texts=False).join(linked, "hash", "left")
 
 
 def _goes() -> Column:
@@ -208,11 +230,11 @@ def report(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFra
 
 def dedup(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
     """The documents without lines that repeat an earlier line or are within `edits` of one; all columns stay."""
-    verdict = judged(documents, edits, min_chars).select("h1", "h2", "first", _goes().alias("goes"))
+    verdict = judged(documents, edits, min_chars).filter("pure").select("hash", "first", _goes().alias("goes"))
     marked = (
         lines(documents.select("doc_id", "text"), F.xxhash64(whole("text")).alias("_key"))
-        .select("doc_id", "_key", "line_no", "h1", "h2")
-        .join(verdict, ["h1", "h2"])
+        .select("doc_id", "_key", "line_no", "hash")
+        .join(verdict, "hash")
         .filter(F.col("goes") | (_order() != F.col("first")))
         .groupBy(F.col("doc_id").alias("_id"), "_key")
         .agg(F.collect_set("line_no").alias("_out"))
