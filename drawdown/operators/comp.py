@@ -50,7 +50,12 @@ PLAN = CompPlan()
 
 
 def _years() -> Column:
-    return F.floor(F.col("contract_term_months") / 12).cast("int")
+    return F.col("contract_term_months") / F.lit(12.0)
+
+
+def _last_year() -> Column:
+    """Number of contract years begun."""
+    return F.ceil(F.col("contract_term_months") / F.lit(12.0)).cast("int")
 
 
 def _cents(value: Column) -> Column:
@@ -62,17 +67,20 @@ def _money(value: Column) -> Column:
 
 
 def deal_economics(contracts: DataFrame, plan: CompPlan = PLAN) -> DataFrame:
-    """Total contract value and quota credit under the three approaches."""
+    """Total contract value and quota credit under the three approaches.
+
+    Part years count by their months; a term that the plan does not list has no multiplier.
+    """
     acv = F.col("annual_commit_dollars")
     return valid_contracts(contracts).withColumn("term_years", _years()).select(
         "contract_id",
         "owner_id",
         "term_years",
         acv.alias("acv"),
-        (acv * F.col("term_years")).cast("double").alias("tcv"),
+        _cents(acv * F.col("contract_term_months") / 12.0).alias("tcv"),
         acv.cast("double").alias("credit_none"),
         _cents(acv * plan.multiplier(F.col("term_years"))).alias("credit_multiplier"),
-        (acv * F.col("term_years")).cast("double").alias("credit_full_tcv"),
+        _cents(acv * F.col("contract_term_months") / 12.0).alias("credit_full_tcv"),
     )
 
 
@@ -109,18 +117,22 @@ def contract_year_rates(t: Tables, as_of: date) -> DataFrame:
     )
     terms = valid_contracts(t.contracts).select(
         "contract_id", "account_id", "owner_id", "start_date", "annual_commit_dollars",
-        _years().alias("term_years"),
-    ).filter(F.col("term_years") >= 1)
+        _years().alias("term_years"), _last_year().alias("last_year"), "contract_term_months",
+    ).filter(F.col("last_year") >= 1)
+    # The last year of a contract covers the months that are left of its term.
+    start = month_number(F.col("start_date"))
+    opening = start + (F.col("year") - 1) * 12
+    ending = F.least(opening + 11, start + F.col("contract_term_months") - 1).cast("int")
     years = (
-        terms.withColumn("year", F.explode(F.sequence(F.lit(1), F.col("term_years"))))
-        .withColumn("_opening", month_number(F.col("start_date")) + (F.col("year") - 1) * 12)
-        .drop("start_date")
+        terms.withColumn("year", F.explode(F.sequence(F.lit(1), F.col("last_year"))))
+        .withColumns({"_opening": opening, "_ending": ending})
+        .drop("start_date", "contract_term_months")
     )
     newest = F.lit(before.year * 12 + before.month - 2)
-    closing = F.least(F.col("_opening") + 11, newest)
+    closing = F.least(F.col("_ending"), newest)
     months = (
         years.filter(F.col("_opening") <= newest)
-        .select("account_id", "_opening")
+        .select("account_id", "_opening", "_ending")
         .distinct()
         .withColumn("_month", F.explode(F.sequence(F.col("_opening"), closing)))
     )
@@ -128,10 +140,11 @@ def contract_year_rates(t: Tables, as_of: date) -> DataFrame:
     means = (
         months.hint("merge")
         .join(rates, ["account_id", "_month"])
-        .groupBy("account_id", "_opening")
+        .groupBy("account_id", "_opening", "_ending")
         .agg(avg_exact(F.col("consumption_rate")).alias("rate"))
     )
-    return years.join(means, ["account_id", "_opening"], "left").drop("_opening")
+    keys = ["account_id", "_opening", "_ending"]
+    return years.join(means, keys, "left").drop("_opening", "_ending")
 
 
 def _yearly(t: Tables, as_of: date) -> DataFrame:
@@ -140,7 +153,7 @@ def _yearly(t: Tables, as_of: date) -> DataFrame:
         "contract_id",
         "account_id",
         "owner_id",
-        "term_years",
+        "last_year",
         "year",
         acv.alias("acv"),
         "rate",
@@ -235,7 +248,7 @@ def renewal_credit(contracts: DataFrame, plan: CompPlan = PLAN) -> DataFrame:
 def am_yearly(t: Tables, as_of: date, plan: CompPlan = PLAN) -> DataFrame:
     """AM credit from year two on, running value, and attainment with the renewal year.
 
-    The running sum is per contract, over at most its term in years.
+    The running sum is per contract, over at most the years of its term.
     """
     upto = W.partitionBy("contract_id").orderBy("year").rowsBetween(W.unboundedPreceding, 0)
     quota = F.lit(plan.am_quota * plan.am_consumption_weight)
@@ -243,7 +256,7 @@ def am_yearly(t: Tables, as_of: date, plan: CompPlan = PLAN) -> DataFrame:
     running = F.coalesce(F.sum(_money(value)).over(upto).cast("double"), F.lit(0.0))
     contribution = F.col("value") * plan.am_consumption_weight
     renewal = F.when(
-        F.col("year") == F.col("term_years"),
+        F.col("year") == F.col("last_year"),
         ratio(
             F.col("acv") * F.lit(float(plan.renewal_term_years)) * plan.am_bookings_weight,
             F.lit(plan.am_quota * plan.am_bookings_weight),

@@ -204,7 +204,8 @@ def overlapping_pairs(contracts: DataFrame, salts: int = SALTS) -> DataFrame:
     they run meet contracts that start in that month. The work follows the size
     of the answer; ``overlap_profile`` answers how many without listing them.
     """
-    running = by_month(_sided(contracts, 1), "c1_start", "c1_end")
+    # Spread over months a side is larger than it looks to the optimiser.
+    running = by_month(_sided(contracts, 1), "c1_start", "c1_end").hint("merge")
     starting = _sided(contracts, 2).withColumn("_month", month_number(F.col("c2_start")))
     later = (F.col("c2_start") > F.col("c1_start")) | (
         (F.col("c2_start") == F.col("c1_start")) & (F.col("contract_2") > F.col("contract_1"))
@@ -321,27 +322,32 @@ def owner_history(contracts: DataFrame) -> DataFrame:
     )
 
 
-def owner_as_of(events: DataFrame, history: DataFrame, day: str, horizon) -> DataFrame:
-    """Attach the owner valid on each row's day; open periods run to ``horizon``.
+def owner_as_of(events: DataFrame, history: DataFrame, day: str) -> DataFrame:
+    """Attach the owner valid on each row's day; an open period has no end.
 
-    Periods are cut into months so that the join has an equi key finer than the
-    account. Rows on days nobody owned keep a NULL owner.
+    Closed periods are cut into months, so that the join has an equi key finer than the account; an account has at most one open
+    period, which joins by account. Rows on days nobody owned keep a NULL owner.
     """
-    periods = by_month(
-        history.withColumn("_until", F.coalesce("effective_to", as_date(horizon))),
-        "effective_from",
-        "_until",
-    ).select(
+    closed = history.filter(F.col("effective_to").isNotNull())
+    # Spread over months the periods are larger than they look to the optimiser.
+    periods = by_month(closed, "effective_from", "effective_to").hint("merge").select(
         F.col("account_id").alias("_acct"),
         "_month",
-        F.col("employee_id").alias("owner_id"),
-        "effective_from",
-        "_until",
+        F.col("employee_id").alias("_closed_owner"),
+        F.col("effective_from").alias("_from"),
+        F.col("effective_to").alias("_until"),
+    )
+    latest = history.filter(F.col("effective_to").isNull()).select(
+        F.col("account_id").alias("_open_acct"),
+        F.col("employee_id").alias("_open_owner"),
+        F.col("effective_from").alias("_open_from"),
     )
     rows = events.withColumn("_row_month", month_number(F.col(day)))
     match = (
         (F.col("account_id") == F.col("_acct"))
         & (F.col("_row_month") == F.col("_month"))
-        & F.col(day).between(F.col("effective_from"), F.col("_until"))
+        & F.col(day).between(F.col("_from"), F.col("_until"))
     )
-    return rows.join(periods, match, "left").select(*events.columns, "owner_id")
+    still = (F.col("account_id") == F.col("_open_acct")) & (F.col(day) >= F.col("_open_from"))
+    owner = F.coalesce("_closed_owner", "_open_owner").alias("owner_id")
+    return rows.join(periods, match, "left").join(latest, still, "left").select(*events.columns, owner)

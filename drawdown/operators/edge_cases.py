@@ -88,7 +88,8 @@ def consistent_overage(
         F.max("included_monthly_compute_credits").alias("allowance"),
         F.count(F.lit(1)).alias("copies"),
     )
-    pieces = by_month(spans, "start_date", "end_date")
+    # Spread over months the spans are larger than they look to the optimiser.
+    pieces = by_month(spans, "start_date", "end_date").hint("merge")
     daily = daily_totals(t.logs).withColumn("_month", month_number(F.col("date")))
     covered = daily.join(pieces, ["account_id", "_month"]).filter(
         F.col("date").between(F.col("start_date"), F.col("end_date"))

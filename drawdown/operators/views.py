@@ -210,16 +210,22 @@ def extract_crm(owned: DataFrame) -> DataFrame:
     )
 
 
-def extract_cs(detail: DataFrame) -> DataFrame:
-    """Customer-success extract: health score, confidence and warning flags."""
+def extract_cs(detail: DataFrame, streaks: DataFrame, age_days: Column | None = None) -> DataFrame:
+    """Customer-success extract: health score, confidence and warning flags.
+
+    `streaks` are `rates.zero_streak` rows: outreach is due while at least two adjacent months up to now had no usage.
+    `age_days` is the age of the snapshot; over two days the confidence is Stale.
+    """
+    current = streaks.select("account_id", F.col("current_zero_streak").alias("_streak"))
+    age = F.lit(0.0) if age_days is None else age_days
     score = F.least(F.lit(100.0), F.coalesce("trailing_90d_avg_rate", F.lit(0.0)) * 100)
-    level = confidence_level(F.col("months_of_data"), F.col("is_new_account"), F.lit(0.0))
-    return detail.select(
+    level = confidence_level(F.col("months_of_data"), F.col("is_new_account"), age)
+    return detail.join(current, "account_id", "left").select(
         "account_id",
         "health_tier",
         round_half_up(score, 2).alias("cs_health_score"),
         level.alias("confidence"),
-        (F.col("zero_usage_months") >= 2).alias("outreach_flag"),
+        (F.coalesce("_streak", F.lit(0)) >= 2).alias("outreach_flag"),
         "early_shelfware_flag",
         "onboarding_stall_flag",
         "spike_drop_early_flag",

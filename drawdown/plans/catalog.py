@@ -147,7 +147,7 @@ _add(
     q_renewals=lambda t: views.q_renewals(_owned(t), AS_OF),
     q_rep=lambda t: views.q_rep(rollups.rep_rollup(_fact(t), t.reps), "supplier#000000007"),
     extract_crm=lambda t: views.extract_crm(_owned(t)),
-    extract_cs=lambda t: views.extract_cs(_detail(t)),
+    extract_cs=lambda t: views.extract_cs(_detail(t), rates.zero_streak(_monthly(t), AS_OF)),
     extract_comp=lambda t: views.extract_comp(rollups.rep_portfolio(_fact(t), t.reps)),
 )
 
@@ -257,9 +257,7 @@ def _snapshots(t: Tables) -> DataFrame:
 
 def _owner_days(t: Tables) -> DataFrame:
     days = usage.guarded_daily(t).select("account_id", "date")
-    return contracts.owner_as_of(
-        days, contracts.owner_history(t.contracts), "date", date(2010, 12, 31)
-    )
+    return contracts.owner_as_of(days, contracts.owner_history(t.contracts), "date")
 
 
 _add(

@@ -55,10 +55,10 @@ _PARTS: dict[str, str] = {
         (o_custkey + o_orderkey) % n AS owner_id,
         CAST(o_orderdate AS DATE) AS start_date,
         CASE WHEN o_orderkey % 97 = 0 THEN CAST(o_orderdate AS DATE) - 1
-             ELSE CAST(CAST(o_orderdate AS DATE) + to_months(CASE o_orderpriority WHEN '5-LOW' THEN 36 WHEN '2-HIGH' THEN 24 ELSE 12 END) AS DATE) - 1 END AS end_date,
+             ELSE CAST(CAST(o_orderdate AS DATE) + to_months(CASE WHEN o_orderkey % 89 = 0 THEN 8 WHEN o_orderkey % 83 = 0 THEN 18 WHEN o_orderpriority = '5-LOW' THEN 36 WHEN o_orderpriority = '2-HIGH' THEN 24 ELSE 12 END) AS DATE) - 1 END AS end_date,
         CAST(floor(o_totalprice) AS BIGINT) AS annual_commit_dollars,
         CASE WHEN o_orderkey % 53 = 0 THEN CAST(0 AS BIGINT) ELSE 1 + o_orderkey % 8 END AS included_monthly_compute_credits,
-        CASE o_orderpriority WHEN '5-LOW' THEN 36 WHEN '2-HIGH' THEN 24 ELSE 12 END AS contract_term_months
+        CASE WHEN o_orderkey % 89 = 0 THEN 8 WHEN o_orderkey % 83 = 0 THEN 18 WHEN o_orderpriority = '5-LOW' THEN 36 WHEN o_orderpriority = '2-HIGH' THEN 24 ELSE 12 END AS contract_term_months
         FROM orders, n_reps""",
     "contracts": "SELECT * FROM all_contracts WHERE end_date >= start_date",
     "logs": """SELECT l_orderkey * 10 + l_linenumber AS log_id,
@@ -382,8 +382,8 @@ _SQL["extract_crm"] = f"""SELECT account_id AS account, health_tier AS Health_Ti
     acv_at_risk AS ACV_at_Risk__c, CASE WHEN expansion_flag THEN 'Expansion Identified' END AS StageName,
     coalesce(is_spike_drop, FALSE) AS Spike_Drop_Flag__c, employee_id AS Owner, signing_owner_id AS Signing_Owner__c FROM owned"""
 _SQL["extract_cs"] = f"""SELECT account_id, health_tier, {rnd("least(100.0, coalesce(trailing_90d_avg_rate, 0.0) * 100)", 2)} AS cs_health_score,
-    {_CONFIDENCE} AS confidence, zero_usage_months >= 2 AS outreach_flag, early_shelfware_flag, onboarding_stall_flag, spike_drop_early_flag
-    FROM ({_DETAIL})"""
+    {_CONFIDENCE} AS confidence, coalesce(current_zero_streak, 0) >= 2 AS outreach_flag, early_shelfware_flag, onboarding_stall_flag, spike_drop_early_flag
+    FROM ({_DETAIL}) LEFT JOIN (SELECT account_id, current_zero_streak FROM ({_SQL['zero_streak']})) USING (account_id)"""
 
 _TIERS = ("Expansion", "Healthy", "At Risk", "Shelfware", "Inactive", "Ramping")
 
@@ -689,20 +689,20 @@ _SQL["edge_case_scorecard"] = f"""SELECT 'Spike & Drop' AS edge_case, count(*) A
 
 # Compensation
 _MULT = "CASE term_years WHEN 1 THEN 1.0::DOUBLE WHEN 2 THEN 1.2::DOUBLE WHEN 3 THEN 1.35::DOUBLE WHEN 5 THEN 1.5::DOUBLE END"
-_PARTS["deals"] = f"""SELECT contract_id, owner_id, term_years, acv, CAST(acv * term_years AS DOUBLE) AS tcv, CAST(acv AS DOUBLE) AS credit_none,
-    {rnd(f'acv * {_MULT}', 2)} AS credit_multiplier, CAST(acv * term_years AS DOUBLE) AS credit_full_tcv
-    FROM (SELECT contract_id, owner_id, CAST(contract_term_months // 12 AS INTEGER) AS term_years, annual_commit_dollars AS acv FROM contracts)"""
+_PARTS["deals"] = f"""SELECT contract_id, owner_id, term_years, acv, {rnd("acv * months / 12.0::DOUBLE", 2)} AS tcv, CAST(acv AS DOUBLE) AS credit_none,
+    {rnd(f'acv * {_MULT}', 2)} AS credit_multiplier, {rnd("acv * months / 12.0::DOUBLE", 2)} AS credit_full_tcv
+    FROM (SELECT contract_id, owner_id, contract_term_months / 12.0::DOUBLE AS term_years, contract_term_months AS months, annual_commit_dollars AS acv FROM contracts)"""
 _SQL["comp_deal_economics"] = "SELECT * FROM deals"
 _APPROACH = ("none", "multiplier", "full_tcv")
 _PARTS["bookings"] = "SELECT owner_id AS employee_id, count(*) AS deals, " + ", ".join(
     f"{rnd(div(amt(f'credit_{a}'), '700000.0'), 4)} AS attainment_{a}" for a in _APPROACH
 ) + " FROM deals GROUP BY owner_id"
 _SQL["comp_bookings_attainment"] = "SELECT * FROM bookings"
-_PARTS["deal_years"] = f"""SELECT c.contract_id, c.account_id, c.owner_id, c.contract_term_months // 12 AS term_years, c.y AS year, c.annual_commit_dollars AS acv,
+_PARTS["deal_years"] = f"""SELECT c.contract_id, c.account_id, c.owner_id, (c.contract_term_months + 11) // 12 AS term_years, c.y AS year, c.annual_commit_dollars AS acv,
     {avg('m.consumption_rate')} AS rate
-    FROM (SELECT *, CAST(unnest(generate_series(1, contract_term_months // 12)) AS INTEGER) AS y FROM contracts) c
+    FROM (SELECT *, CAST(unnest(generate_series(1, (contract_term_months + 11) // 12)) AS INTEGER) AS y FROM contracts) c
     LEFT JOIN monthly m ON m.account_id = c.account_id
-      AND datediff('month', c.start_date, m.usage_month) >= (c.y - 1) * 12 AND datediff('month', c.start_date, m.usage_month) < c.y * 12
+      AND datediff('month', c.start_date, m.usage_month) >= (c.y - 1) * 12 AND datediff('month', c.start_date, m.usage_month) < least(c.y * 12, c.contract_term_months)
     GROUP BY ALL"""
 _PARTS["valued_years"] = """SELECT *, CASE WHEN rate IS NOT NULL THEN least(acv * rate, CAST(acv AS DOUBLE)) END AS v,
     CASE WHEN rate IS NOT NULL THEN greatest(acv * rate - acv, 0.0) END AS o FROM deal_years"""

@@ -29,6 +29,7 @@ def local_session(cpus: int | str = 8, partitions: int = 8) -> SparkSession:
         # days and months, so a single machine keeps its partitions small.
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

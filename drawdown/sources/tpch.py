@@ -82,7 +82,9 @@ def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     key, account = F.col("o_orderkey"), F.col("o_custkey")
     start = F.col("o_orderdate").cast("date")
     term = (
-        F.when(F.col("o_orderpriority") == "5-LOW", 36)
+        F.when(F.col("o_orderkey") % 89 == 0, 8)
+        .when(F.col("o_orderkey") % 83 == 0, 18)
+        .when(F.col("o_orderpriority") == "5-LOW", 36)
         .when(F.col("o_orderpriority") == "2-HIGH", 24)
         .otherwise(12)
     )

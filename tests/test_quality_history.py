@@ -5,6 +5,8 @@ from datetime import date
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from drawdown.model import AMENDMENTS
 from drawdown.operators import comp, contracts, edge_cases, history, quality, usage
 from drawdown.operators.metrics import account_fact
@@ -144,10 +146,9 @@ def test_owner_history_lookup(spark):
         ],
         [log(1, 1, "2024-12-31", 1), log(2, 1, "2025-02-28", 1), log(3, 1, "2025-03-01", 1)],
     )
-    owned = contracts.owner_as_of(
-        t.logs, contracts.owner_history(t.contracts), "date", date(2030, 1, 1)
-    )
-    assert {r.log_id: r.owner_id for r in owned.collect()} == {1: None, 2: 5, 3: 7}
+    late = t.logs.unionByName(t.logs.filter("log_id = 3").withColumns({"log_id": F.lit(4), "date": F.lit(date(2099, 5, 1))}))
+    owned = contracts.owner_as_of(late, contracts.owner_history(t.contracts), "date")
+    assert {r.log_id: r.owner_id for r in owned.collect()} == {1: None, 2: 5, 3: 7, 4: 7}
 
 
 def test_contract_types(spark):
@@ -204,6 +205,23 @@ def test_comp_formulas_match_a_worked_deal(spark):
     assert (summary.year1_attainment, summary.combined_none) == (0.3, 0.7286)
 
 
+def test_part_year_terms_count_by_their_months(spark):
+    t = tables(
+        spark,
+        [contract(1, 1, "2024-01-01", "2024-08-31", commit=120000, term=8),
+         contract(2, 2, "2023-01-01", "2024-06-30", commit=120000, term=18)],
+        [log(i, a, f"{y}-{m:02d}-05", 50 if (y, m) != (2024, 7) else 100)
+         for i, (a, y, m) in enumerate((a, y, m) for a in (1, 2) for y in (2023, 2024) for m in range(1, 13))],
+    )
+    deals = rows(comp.deal_economics(t.contracts), "contract_id")
+    assert (deals[1]["tcv"], deals[1]["credit_multiplier"]) == (80000.0, None)
+    assert (deals[2]["tcv"], deals[2]["credit_multiplier"]) == (180000.0, None)
+    yearly = comp.comp_yearly(t, date(2025, 1, 15)).collect()
+    assert {(r.contract_id, r.year) for r in yearly} == {(1, 1), (2, 1), (2, 2)}
+    # The second year of 18 months ends with June, so July's usage is not in it.
+    assert next(r for r in yearly if (r.contract_id, r.year) == (2, 2)).annual_value == 60000.0
+
+
 def test_usage_of_unlisted_term_has_no_multiplier(spark):
     t = tables(spark, [contract(1, 1, "2023-01-01", "2026-12-31", commit=10, term=48)])
     assert comp.deal_economics(t.contracts).first().credit_multiplier is None

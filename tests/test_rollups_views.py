@@ -4,6 +4,8 @@ from datetime import date
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from drawdown.operators import rollups, views
 from drawdown.operators.metrics import account_fact, with_rep
 from tests.build import AS_OF, contract, log, rows, tables
@@ -124,7 +126,12 @@ def test_bands_and_extracts(book):
     assert bands[12]["cs_score_low"] is None
     crm = rows(views.extract_crm(owned), "account")
     assert crm[11]["StageName"] == "Expansion Identified" and crm[10]["StageName"] is None
-    cs = rows(views.extract_cs(views.account_detail(owned)), "account_id")
+    detail = views.account_detail(owned)
+    streaks = detail.sparkSession.createDataFrame([(10, 1, 1), (11, 2, 2)], "account_id LONG, current_zero_streak LONG, x LONG")
+    cs = rows(views.extract_cs(detail, streaks, F.lit(3)), "account_id")
+    assert {k: cs[k]["outreach_flag"] for k in (10, 11, 12)} == {10: False, 11: True, 12: False}
+    assert cs[10]["confidence"] == "Stale"
+    cs = rows(views.extract_cs(detail, streaks), "account_id")
     assert cs[12]["confidence"] == "Low" and cs[10]["confidence"] == "High"
     assert cs[11]["cs_health_score"] == 100.0
     assert views.align(fact, ["cacv", "nope", "account_id"]).columns == ["cacv", "account_id"]
