@@ -9,9 +9,9 @@ of time and a process is left as soon as its time is over that of the document's
 
 `BANDS` bands of `ROWS` registers make candidates: at a similarity of 0.8 a pair escapes all bands with probability 3e-6. Documents
 with the same multiset are one node beforehand. In each band bucket every node is compared with the bucket's first node, so that
-a group of copies costs as many comparisons as it has members. Where a bucket still holds several components after that, the
-nodes outside its first node's component are compared with all others of the bucket that they share at least two bands with
-(at 0.8 the chance to share fewer is 5e-5). Similarities are verified on the multisets themselves: sum of minima over sum of
+a group of copies costs as many comparisons as it has members. While many nodes are in another component than most of their
+bucket, a further node of each such bucket is compared with the others, one a round. What is still apart then is compared with
+all nodes of other components that it shares at least two bands with (at 0.8 the chance to share fewer is 5e-5). Similarities are verified on the multisets themselves: sum of minima over sum of
 maxima. A class is a connected component of verified links.
 
 Defined results: a document without words is alone in its class; rows that repeat id and text are one document; a class is named
@@ -34,6 +34,8 @@ from drawdown.session import materialise
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 42, 6
 REGISTERS = BANDS * ROWS
+#: Rounds in which one node of each bucket is compared with the others, while more than so many nodes are apart.
+HUB_ROUNDS, FEW = 6, 1000
 #: Processes handled at once.
 BLOCK = 150_000
 NODES = "doc_id BIGINT, text_key BIGINT, n_shingles BIGINT, bag1 BIGINT, bag2 BIGINT, bands ARRAY<BIGINT>"
@@ -209,6 +211,7 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = materialise(banded.join(crowded.select("key", "hub"), "key"), "bands")
 
     stars = met.filter("node != hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
+    stars = materialise(stars, "asked")
     wanted = met.select("node").distinct().join(nodes.select("node", "rep"), "node")
     texts = rows.select(
         F.coalesce("doc_id", F.lit(9223372036854775807)).alias("id"), F.col("text_key"), "text"
@@ -217,14 +220,22 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = _verified(stars, texts)
     known = components(links)
 
-    # What a bucket's first node did not settle.
-    label = F.coalesce("label", "node")
-    placed = met.join(known, "node", "left").select("key", "node", "hub", label.alias("label"))
-    hubs = known.toDF("hub", "hub_label")
-    placed = materialise(
-        placed.join(hubs, "hub", "left").select("key", "node", "label", F.coalesce("hub_label", "hub").alias("hub_label")),
-        "placed",
-    )
+    # What a bucket's first node did not settle goes to other nodes of the bucket, one a round.
+    placed = _placed(met, known)
+    for number in range(1, HUB_ROUNDS):
+        apart = placed.filter(F.col("label") != F.col("hub_label"))
+        if apart.limit(FEW + 1).count() <= FEW:
+            break
+        # All buckets prefer the same nodes, so that they ask for the same pairs.
+        turn = F.struct(F.xxhash64(F.lit(number), "node").alias("turn"), F.col("node").alias("hub"))
+        chosen = apart.groupBy("key").agg(F.min(turn).alias("turn")).select("key", "turn.hub")
+        chosen = chosen.join(known.toDF("hub", "own"), "hub", "left").select("key", "hub", F.coalesce("own", "hub").alias("own"))
+        asked = placed.join(chosen, "key").filter(F.col("label") != F.col("own"))
+        asked = asked.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+        stars = materialise(stars.unionByName(asked.join(stars, ["a", "b"], "left_anti")), "asked")
+        links = materialise(links.unionByName(_verified(asked, texts)), "links")
+        known = components(links)
+        placed = _placed(met, known)
     apart = placed.filter(F.col("label") != F.col("hub_label")).select("key", "node", "label")
     other = placed.select("key", F.col("node").alias("b"), F.col("label").alias("b_label"), "hub_label")
     rest = (
@@ -235,12 +246,21 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         .agg(F.countDistinct("key").alias("shared"))
         .filter("shared > 1")
         .select("a", "b")
-        .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+        .join(stars, ["a", "b"], "left_anti")
     )
     more = _verified(rest, texts)
     return members.select("doc_id", "text_key", "node"), components(links.unionByName(more))
 
 
+def _placed(met: DataFrame, known: DataFrame) -> DataFrame:
+    """key, node, label, hub_label of each node of a crowded bucket: its component and that of most of the bucket's nodes."""
+    labelled = met.join(known, "node", "left").select("key", "node", F.coalesce("label", "node").alias("label"))
+    sizes = labelled.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
+    most = sizes.groupBy("key").agg(F.max(F.struct("n", "label")).alias("most"), F.count(F.lit(1)).alias("parts"))
+    mixed = most.filter("parts > 1").select("key", F.col("most.label").alias("hub_label"))
+    return materialise(labelled.join(mixed, "key"), "placed")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose documents are similar, written once."""
     left, right = texts.toDF("a", "a_text"), texts.toDF("b", "b_text")

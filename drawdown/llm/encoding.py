@@ -14,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-MEMO = 600_000
+MEMO = 1_200_000
 IDS = np.dtype("<u4")
 LATIN = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")
 #: White space other than a single blank or line end between two words.

@@ -35,7 +35,7 @@ MAGIC = b"IDS1"
 SAMPLE, SAMPLE_BYTES, DICTIONARY_BYTES = 400, 16_384, 65_536
 #: Ids of a shard, unless one document has more.
 SHARD_IDS = 1_000_000
-LEVEL = 3
+LEVEL = 1
 SHARDS = "part INT, first_doc_id BIGINT, last_doc_id BIGINT, n_docs INT, start BIGINT, n_ids BIGINT, image BINARY"
 ROWS = "doc_id BIGINT, part INT, start BIGINT, ids BINARY"
 
