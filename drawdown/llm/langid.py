@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drawdown.llm.common import ship
+from drawdown.llm.common import BROADCAST_ROWS, ship
 
 DIMS = 4096
 ROWS = 256
@@ -119,6 +119,8 @@ def fit(
     df = {r.place: r.n for r in found.collect()}
     idf = np.array([np.log((1 + df.get(-1, 0)) / (1 + df.get(k, 0))) + 1 for k in range(DIMS)], dtype=np.float32)
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
+    # One row per language; as a shuffle join it would gather a language's texts in one task.
+    sizes = F.broadcast(sizes) if sizes.count() <= BROADCAST_ROWS else sizes
     share = F.pmod(F.xxhash64(F.lit("sample"), "doc_id"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     chosen = rows.join(sizes, "lang").filter(share * F.col("_rows") < per_language)
 
