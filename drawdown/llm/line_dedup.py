@@ -5,7 +5,8 @@ from one to the other; shorter ones only when they are equal. Equal lines collap
 cut into edits + 1 segments; among them at least one survives `edits` edits unchanged. The segments are the index, keyed by
 (l, segment number, content). A line probes it for each length from its own down to `edits` less, with the substrings that
 can align with the segment when the edits are shared out between its two sides (multi-match-aware selection). Pairs that
-meet, and whose counts of some letters are no further apart than `edits` edits can bring them, are verified with a banded bit-parallel edit distance.
+meet, and whose counts of some letters are no further apart than `edits` edits can bring them, are verified with a banded
+bit-parallel edit distance.
 
 Everything is DataFrame operations. The first shuffle combines equal lines beforehand, so a line that fills a third of the
 table arrives as one row per task; the key of the join holds the length, so that a frequent beginning of lines does not
@@ -27,7 +28,7 @@ from drawdown.session import materialise
 
 NO_ID = 9223372036854775807
 #: Frequent letters of Latin scripts, whose counts a line carries.
-LETTERS = "etaonsrd"
+LETTERS = "etaonsrdilhcumpg"
 # Room for the line number in the order key.
 LINES = 10_000_000_000
 
@@ -69,12 +70,12 @@ def _segment(length: Column, i: Column, edits: int) -> tuple[Column, Column]:
 
 
 def marks(line: Column) -> Column:
-    """Counts of some letters, modulo 16, four bits each; an edit changes one count, or two of them, by one."""
+    """Counts of some letters, modulo 4, two bits each; an edit changes one count, or two of them, by one."""
     size = F.octet_length(line)
     return F.aggregate(
         F.array(*[F.lit(x) for x in LETTERS]),
         F.lit(0),
-        lambda bits, x: F.shiftleft(bits, 4).bitwiseOR((size - F.octet_length(F.replace(line, x, F.lit("")))) % 16),
+        lambda bits, x: F.shiftleft(bits, 2).bitwiseOR((size - F.octet_length(F.replace(line, x, F.lit("")))) % 4),
     )
 
 
@@ -82,9 +83,9 @@ def _apart(a: Column, b: Column) -> Column:
     """Least number of letters that must change by one to lead from one line's marks to the other's."""
     total = F.lit(0)
     for k in range(len(LETTERS)):
-        x, y = (F.shiftrightunsigned(m, 4 * k).bitwiseAND(F.lit(15)) for m in (a, b))
+        x, y = (F.shiftrightunsigned(m, 2 * k).bitwiseAND(F.lit(3)) for m in (a, b))
         gap = F.abs(x - y)
-        total = total + F.least(gap, 16 - gap)
+        total = total + F.least(gap, 4 - gap)
     return total
 
 
@@ -96,7 +97,10 @@ def index_keys(long_lines: DataFrame, edits: int) -> DataFrame:
 
 
 def probe_keys(long_lines: DataFrame, edits: int) -> DataFrame:
-    """key, hash, marks, less (how much shorter) of each substring to look up among lines of the same length or up to `edits` shorter."""
+    """key, hash, marks of each substring to look up among lines of the same length or up to `edits` shorter.
+
+    How much shorter stands above the 32 bits of the marks.
+    """
     looks = [
         F.struct(F.lit(less).alias("less"), F.lit(i).alias("i"), F.lit(shift).alias("shift"))
         for less in range(edits + 1)
@@ -108,7 +112,9 @@ def probe_keys(long_lines: DataFrame, edits: int) -> DataFrame:
     at, size = _segment(F.col("other"), F.col("i"), edits)
     begin = at + F.col("shift")
     return rows.filter((begin >= 1) & (begin + size - 1 <= F.col("length"))).select(
-        F.xxhash64("other", "i", F.substring(F.col("line"), begin, size)).alias("key"), "hash", "marks", "less"
+        F.xxhash64("other", "i", F.substring(F.col("line"), begin, size)).alias("key"),
+        "hash",
+        F.shiftleft(F.col("less").cast("long"), 32).bitwiseOR(F.col("marks").bitwiseAND(F.lit(0xFFFFFFFF))).alias("marks"),
     )
 
 
@@ -175,10 +181,12 @@ def links(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFram
         .select("hash", "line", "marks", "first", F.length("line").alias("length"))
     )
     found = index_keys(long_lines, edits).toDF("key", "b", "b_marks")
-    asked = probe_keys(long_lines, edits).toDF("key", "a", "a_marks", "less")
-    # Lines that share a segment and little else are told apart inside the join; of two lines of one length one asks.
-    close = _apart(F.col("a_marks"), F.col("b_marks")) <= 2 * edits
-    once = (F.col("a") < F.col("b")) | ((F.col("a") != F.col("b")) & (F.col("less") > 0))
+    asked = probe_keys(long_lines, edits).toDF("key", "a", "a_marks")
+    less = F.shiftright("a_marks", 32)
+    # Lines that share a segment and little else are told apart inside the join; of two lines of one length one asks. Where
+    # one is shorter, that many edits are insertions, and an insertion changes one count only.
+    close = _apart(F.col("a_marks"), F.col("b_marks")) <= 2 * edits - less
+    once = (F.col("a") < F.col("b")) | ((F.col("a") != F.col("b")) & (less > 0))
     pairs = found.join(asked, "key").filter(once & close).select("a", "b").distinct()
     left = long_lines.select(F.col("hash").alias("a"), F.col("line").alias("a_line"), F.col("first").alias("a_first"))
     right = long_lines.select(F.col("hash").alias("b"), F.col("line").alias("b_line"), F.col("first").alias("b_first"))
