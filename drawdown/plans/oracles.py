@@ -817,7 +817,7 @@ _SQL["scd2_contracts"] = f"""WITH p AS (SELECT DISTINCT c.*, d.day FROM all_cont
     lead(day) OVER (PARTITION BY contract_id ORDER BY day) - 1 AS valid_to, lead(day) OVER (PARTITION BY contract_id ORDER BY day) IS NULL AS is_current FROM k"""
 
 # Streams: what is final once the watermark has passed
-_SQL["stream_daily_usage"] = f"""SELECT * FROM (SELECT user_id AS account_id, CAST(ts AS DATE) AS date, {amt('value')} AS credits_consumed, count(*) AS log_count
+_SQL["stream_daily_usage"] = """SELECT * FROM (SELECT user_id AS account_id, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) AS credits_consumed, count(*) AS log_count
     FROM events GROUP BY ALL) WHERE date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""
 _SQL["stream_dedup"] = "SELECT event_id AS log_id, user_id AS account_id, CAST(ts AS DATE) AS date, value AS credits FROM events"
 _SQL["stream_guarded"] = """SELECT event_id AS log_id, user_id AS account_id, CAST(ts AS DATE) AS date, value AS credits,

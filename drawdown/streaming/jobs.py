@@ -43,7 +43,7 @@ def daily_usage(stream: DataFrame, lateness: str = "2 days") -> DataFrame:
         stream.withWatermark("ts", lateness)
         .groupBy(F.window("ts", "1 day").alias("w"), "account_id")
         .agg(
-            F.sum(F.col("credits").cast("decimal(18,2)")).cast("double").alias("credits_consumed"),
+            F.sum(F.col("credits").cast("decimal(28,12)")).cast("double").alias("credits_consumed"),
             F.count(F.lit(1)).alias("log_count"),
         )
         .select(
