@@ -10,9 +10,10 @@ of time and a process is left as soon as its time is over that of the document's
 `BANDS` bands of `ROWS` registers make candidates: at a similarity of 0.8 a pair escapes all bands with probability 3e-6. Documents
 with the same multiset are one node beforehand. In each band bucket every node is compared with the bucket's first node, so that
 a group of copies costs as many comparisons as it has members. Where a bucket still holds several components after that, the
-nodes outside its first node's component are compared with all others of the bucket that they share at least two bands with
-(at 0.8 the chance to share fewer is 5e-5). Similarities are verified on the multisets themselves: sum of minima over sum of
-maxima. A class is a connected component of verified links.
+nodes outside its first node's component are compared with all others of the bucket, in the first bucket a pair shares. Two
+tests come before that, inside the join: 1 - similarity is a metric, so both must be about as far from the bucket's first node
+(exact), and they must agree in `AGREE` registers (at 0.8 the chance to agree in fewer is 1e-6). Similarities are verified on
+the multisets themselves: sum of minima over sum of maxima. A class is a connected component of verified links.
 
 Defined results: a document without words is alone in its class; rows that repeat id and text are one document; a class is named
 after its first document (least id, null last, then a hash of the text); an empty table gives no rows. Extra columns play no part.
@@ -21,10 +22,11 @@ after its first document (least id, null last, then a hash of the text); an empt
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drawdown.llm.common import ship, whole
@@ -34,9 +36,13 @@ from drawdown.session import materialise
 SHINGLE, SIMILAR = 5, 0.8
 BANDS, ROWS = 42, 6
 REGISTERS = BANDS * ROWS
+#: A pair agreeing in fewer registers is not compared; a binomial of 252 draws at 0.8 is lower with probability 1e-6.
+AGREE = 170
+#: Registers are compared by their lowest bits, bit by bit, in so many 64-bit words a bit.
+BITS, WORDS = 8, 4
 #: Processes handled at once.
 BLOCK = 150_000
-NODES = "doc_id BIGINT, text_key BIGINT, n_shingles BIGINT, bag1 BIGINT, bag2 BIGINT, bands ARRAY<BIGINT>"
+NODES = "doc_id BIGINT, text_key BIGINT, n_shingles BIGINT, bag1 BIGINT, bag2 BIGINT, bands ARRAY<BIGINT>, planes ARRAY<BIGINT>"
 
 _A, _B, _C = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
@@ -135,13 +141,30 @@ def band_keys(rows: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def bit_planes(rows: np.ndarray) -> np.ndarray:
+    """The lowest bits of all registers: `WORDS` words with the registers' first bits, then with their second ones, and so on."""
+    bits = np.unpackbits(rows.astype(np.uint8)[:, :, None], axis=2).transpose(0, 2, 1)
+    filled = np.zeros((len(rows), BITS, WORDS * 64), dtype=np.uint8)
+    filled[:, :, :REGISTERS] = bits
+    return np.packbits(filled, axis=2).reshape(len(rows), BITS * WORDS * 8).view(np.int64)
+
+
+def agreement(a: Column, b: Column) -> Column:
+    """In how many registers two nodes agree, by the registers' lowest `BITS` bits; never less than they do."""
+    differ = F.lit(0)
+    for word in range(WORDS):
+        parts = [a.getItem(k).bitwiseXOR(b.getItem(k)) for k in range(word, BITS * WORDS, WORDS)]
+        differ = differ + F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), parts))
+    return F.lit(REGISTERS) - differ
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64())]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     names = [x.split()[0] for x in NODES.split(", ")]
 
     def block(rows: list) -> pa.RecordBatch:
         full = [r for r in rows if len(r[2][0])]
-        keys = band_keys(signatures([r[2] for r in full])) if full else np.zeros((0, BANDS), dtype=np.int64)
+        registers = signatures([r[2] for r in full])
         digest = []
         for _, _, (shingles, count) in full:
             both = mix(shingles ^ mix(count.astype(np.uint64)))
@@ -153,8 +176,11 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [x[0] for x in digest],
             [x[1] for x in digest],
         ]
-        lists = pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * BANDS), pa.array(keys.ravel()))
-        return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, types)), lists], names)
+        lists = [
+            pa.ListArray.from_arrays(pa.array(np.arange(len(full) + 1, dtype=np.int32) * width), pa.array(values.ravel()))
+            for values, width in ((band_keys(registers), BANDS), (bit_planes(registers), BITS * WORDS))
+        ]
+        return pa.RecordBatch.from_arrays([*(pa.array(c, t) for c, t in zip(columns, types)), *lists], names)
 
     for batch in batches:
         rows, held = [], 0
@@ -171,7 +197,7 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: dict[int, tuple] = {}
-        keep = []
+        found = []
         ids = [batch.column(k).to_pylist() for k in (0, 1)]
         for k, (a, b) in enumerate(zip(*ids)):
             for node, column in ((a, 2), (b, 3)):
@@ -180,9 +206,9 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         seen.clear()
                     seen[node] = bag(batch.column(column)[k].as_py())
             first = seen.get(a) or bag(batch.column(2)[k].as_py())
-            keep.append(similarity(first, seen[b]) >= SIMILAR)
-        out = batch.filter(pa.array(keep, pa.bool_()))
-        yield pa.RecordBatch.from_arrays([out.column(0), out.column(1)], ["a", "b"])
+            found.append(similarity(first, seen[b]))
+        columns = [batch.column(0), batch.column(1), pa.array(found, pa.float64())]
+        yield pa.RecordBatch.from_arrays(columns, ["a", "b", "similarity"])
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -201,7 +227,7 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     # Numbered in the order of their first documents within a task; any numbers do, once written.
     nodes = materialise(nodes.select("*", F.monotonically_increasing_id().alias("node")), "bag-nodes")
     same_bag = ["bag1", "bag2", "n_shingles"]
-    members = described.join(nodes, same_bag).select("doc_id", "text_key", "node", "rep", "bands")
+    members = described.join(nodes, same_bag).select("doc_id", "text_key", "node", "rep", "bands", "planes")
     is_rep = (F.coalesce("doc_id", F.lit(9223372036854775807)) == F.col("rep.id")) & (F.col("text_key") == F.col("rep.text_key"))
     reps = members.filter(is_rep).dropDuplicates(["node"])
     banded = reps.select("node", F.explode("bands").alias("key"))
@@ -214,7 +240,8 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.coalesce("doc_id", F.lit(9223372036854775807)).alias("id"), F.col("text_key"), "text"
     ).join(wanted.select("node", "rep.*"), ["id", "text_key"])
     texts = materialise(texts.select("node", "text").dropDuplicates(["node"]), "texts")
-    links = _verified(stars, texts)
+    compared = _verified(stars, texts)
+    links = compared.filter(F.col("similarity") >= SIMILAR)
     known = components(links)
 
     # What a bucket's first node did not settle.
@@ -222,30 +249,40 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     placed = met.join(known, "node", "left").select("key", "node", "hub", label.alias("label"))
     hubs = known.toDF("hub", "hub_label")
     placed = materialise(
-        placed.join(hubs, "hub", "left").select("key", "node", "label", F.coalesce("hub_label", "hub").alias("hub_label")),
+        placed.join(hubs, "hub", "left").select(
+            "key", "node", "hub", "label", F.coalesce("hub_label", "hub").alias("hub_label")
+        ),
         "placed",
     )
-    apart = placed.filter(F.col("label") != F.col("hub_label")).select("key", "node", "label")
-    other = placed.select("key", F.col("node").alias("b"), F.col("label").alias("b_label"), "hub_label")
-    rest = (
-        apart.withColumnRenamed("node", "a")
-        .join(other.withColumnRenamed("b", "node"), "key")
-        .filter((F.col("label") != F.col("b_label")) & ((F.col("a") < F.col("node")) | (F.col("b_label") == F.col("hub_label"))))
-        .groupBy(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-        .agg(F.countDistinct("key").alias("shared"))
-        .filter("shared > 1")
-        .select("a", "b")
-        .join(stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    contested = placed.filter(F.col("label") != F.col("hub_label")).select("key").distinct()
+    far = compared.select(F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("far"))
+    contested = materialise(
+        placed.join(contested, "key", "left_semi")
+        .join(far, ["hub", "node"], "left")
+        .join(reps.select("node", "bands", "planes"), "node")
+        .select("key", "node", "label", "hub_label", F.coalesce("far", F.lit(0.0)).alias("far"), "bands", "planes"),
+        "contested",
     )
-    more = _verified(rest, texts)
+    left = contested.filter(F.col("label") != F.col("hub_label")).alias("l")
+    right = contested.alias("r")
+    rest = left.join(
+        right,
+        (F.col("l.key") == F.col("r.key"))
+        & (F.col("l.label") != F.col("r.label"))
+        & ((F.col("l.node") < F.col("r.node")) | (F.col("r.label") == F.col("r.hub_label")))
+        & (F.abs(F.col("l.far") - F.col("r.far")) <= 1 - SIMILAR + 1e-9)
+        & (agreement(F.col("l.planes"), F.col("r.planes")) >= AGREE)
+        & (F.element_at(F.array_intersect("l.bands", "r.bands"), 1) == F.col("l.key")),
+    ).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
+    more = _verified(rest, texts).filter(F.col("similarity") >= SIMILAR)
     return members.select("doc_id", "text_key", "node"), components(links.unionByName(more))
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose documents are similar, written once."""
+    """The pairs and their similarities, written once."""
     left, right = texts.toDF("a", "a_text"), texts.toDF("b", "b_text")
     both = pairs.join(right, "b").join(left, "a").select("a", "b", "a_text", "b_text")
-    return materialise(both.mapInArrow(_verify, "a BIGINT, b BIGINT"), "links")
+    return materialise(both.mapInArrow(_verify, "a BIGINT, b BIGINT, similarity DOUBLE"), "links")
 
 
 def _classed(documents: DataFrame) -> DataFrame:

@@ -187,6 +187,38 @@ def test_removed_bytes_by_brute_force(spark):
         assert got[i].kept_sha256 == hashlib.sha256(kept).hexdigest()
 
 
+def test_near_duplicates_that_drift_by_brute_force(spark):
+    """Texts that drift from one another word by word, in several threads: buckets hold more than one component."""
+    rng = random.Random(11)
+    base = [f"w{rng.randrange(400)}" for _ in range(160)]
+    texts = []
+    for _ in range(6):
+        words = list(base)
+        for _ in range(14):
+            for _ in range(rng.choice((1, 2, 4, 7))):
+                words[rng.randrange(len(words))] = f"x{rng.randrange(10**6)}"
+            texts.append(" ".join(words))
+    bags, label = [bagminhash.bag(t) for t in texts], list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if label[i] != label[j] and bagminhash.similarity(bags[i], bags[j]) >= 0.8:
+                old, new = max(label[i], label[j]), min(label[i], label[j])
+                label = [new if x == old else x for x in label]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    assert len(set(label)) > 3
+    assert {r.doc_id: r.class_id for r in bagminhash.report(df).collect()} == dict(enumerate(label))
+
+
+def test_agreement_counts_registers_with_equal_low_bytes(spark):
+    texts = ["a b c d e f g h i j k l", "a b c d e f g h i j k l m", "n o p q r s t"]
+    rows = bagminhash.signatures([bagminhash.bag(t) for t in texts])
+    planes = bagminhash.bit_planes(rows).tolist()
+    df = spark.createDataFrame([(planes[0], p) for p in planes], "a ARRAY<LONG>, b ARRAY<LONG>")
+    got = [r.n for r in df.select(bagminhash.agreement(F.col("a"), F.col("b")).alias("n")).collect()]
+    low = rows.astype(np.uint8)
+    assert got == [int((low[0] == r).sum()) for r in low]
+
+
 def test_near_duplicate_classes_by_brute_force(spark):
     rng = random.Random(8)
     texts = [words(rng, rng.randint(20, 120)) for _ in range(15)]
