@@ -131,15 +131,15 @@ def edge_case_scorecard(t: Tables, expected: dict[str, str] | None = None) -> Da
     labels = expected or {}
     quiet = t.accounts.join(_accounts_with_logs(t), "account_id", "left_anti")
     counts: list[tuple[str, DataFrame, Column]] = [
-        ("Spike & Drop", spike_drop_accounts(t), F.count(F.lit(1))),
-        ("Shelfware", quiet, F.count(F.lit(1))),
+        ("spike_drop_accounts", spike_drop_accounts(t), F.count(F.lit(1))),
+        ("shelfware_accounts", quiet, F.count(F.lit(1))),
         (
-            "Orphaned Logs (ghost IDs)",
+            "orphaned_usage",
             orphan_profile(t),
             F.coalesce(F.sum("orphan_log_count"), F.lit(0)),
         ),
-        ("Rogue Logs (out-of-contract)", out_of_contract(t), F.max("row_count")),
-        ("Mid-Year Expansions (accounts)", accounts_with_overlap(t.contracts), F.count(F.lit(1))),
+        ("out_of_contract_usage", out_of_contract(t), F.max("row_count")),
+        ("accounts_with_overlap", accounts_with_overlap(t.contracts), F.count(F.lit(1))),
     ]
     rows = [
         df.agg(n.alias("n")).select(

@@ -510,13 +510,13 @@ def data_coverage(fact: DataFrame, reps: DataFrame) -> DataFrame:
     )
     known = per_rep.join(reps.select("employee_id"), "employee_id", "left_semi")
     counts = {
-        "Accounts in snapshot": F.sum("accounts"),
-        "Reps in snapshot": F.count(F.lit(1)),
-        "Accounts with consumption rate": F.sum("rated"),
-        "Accounts with value > 0": F.sum("consuming"),
-        "Shelfware + Inactive": F.sum("shelf"),
-        "Ramping": F.sum("ramping"),
-        "Expansion-flagged accounts": F.sum("flagged"),
+        "accounts": F.sum("accounts"),
+        "reps": F.count(F.lit(1)),
+        "rated_accounts": F.sum("rated"),
+        "consuming_accounts": F.sum("consuming"),
+        "idle_accounts": F.sum("shelf"),
+        "ramping_accounts": F.sum("ramping"),
+        "flagged_accounts": F.sum("flagged"),
     }
     rows = F.array(
         *[F.struct(F.lit(m).alias("metric"), v.alias("value")) for m, v in counts.items()]

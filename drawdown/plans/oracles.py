@@ -507,13 +507,13 @@ _SQL["gap_reps"] = "SELECT * FROM scores WHERE cacv_attainment_rate IS NOT NULL
 _SQL["coaching_reps"] = "SELECT * FROM scores WHERE cacv_attainment_rate < 0.85 ORDER BY cacv_attainment_rate, employee_id LIMIT 3"
 _SQL["top20_reps"] = "SELECT * FROM scores ORDER BY total_cacv DESC NULLS LAST, employee_id LIMIT 20"
 _COVERAGE = (
-    ("Accounts in snapshot", "count(*)"),
-    ("Reps in snapshot", "count(DISTINCT employee_id)"),
-    ("Accounts with consumption rate", "count(trailing_90d_avg_rate)"),
-    ("Accounts with value > 0", cnt("cacv > 0")),
-    ("Shelfware + Inactive", cnt("health_tier IN ('Shelfware', 'Inactive')")),
-    ("Ramping", cnt("health_tier = 'Ramping'")),
-    ("Expansion-flagged accounts", cnt("expansion_flag")),
+    ("accounts", "count(*)"),
+    ("reps", "count(DISTINCT employee_id)"),
+    ("rated_accounts", "count(trailing_90d_avg_rate)"),
+    ("consuming_accounts", cnt("cacv > 0")),
+    ("idle_accounts", cnt("health_tier IN ('Shelfware', 'Inactive')")),
+    ("ramping_accounts", cnt("health_tier = 'Ramping'")),
+    ("flagged_accounts", cnt("expansion_flag")),
 )
 _SQL["data_coverage"] = " UNION ALL ".join(
     f"SELECT '{m}' AS metric, {e} AS value, {rnd(div(e, 'count(*)'), 4)} AS share_of_accounts FROM owned"
@@ -561,10 +561,10 @@ _NULLS = " UNION ALL ".join(
 )
 _DQ = {
     "dq_null_pk": ("null_primary_keys", "ERROR", "sum(null_count) = 0", "sum(null_count)",
-        "CAST(sum(null_count) AS VARCHAR) || ' NULL primary keys in: ' || coalesce(string_agg(tbl, ', ' ORDER BY pos) FILTER (WHERE null_count > 0), 'none')",
+        "CAST(sum(null_count) AS VARCHAR) || ' null keys; tables ' || coalesce(string_agg(tbl, ', ' ORDER BY pos) FILTER (WHERE null_count > 0), 'none')",
         """string_agg('{"tbl":"' || tbl || '","null_count":' || null_count || '}', ' ' ORDER BY pos)""", f"({_NULLS})"),
     "dq_negative_credits": ("negative_credits", "ERROR", "count(*) = 0", "count(*)",
-        "count(*) || ' rows with negative compute_credits_consumed'", "''", "(SELECT * FROM logs WHERE compute_credits_consumed < 0)"),
+        "count(*) || ' credits below zero'", "''", "(SELECT * FROM logs WHERE compute_credits_consumed < 0)"),
 }
 
 
@@ -575,36 +575,36 @@ def _bad(name: str, severity: str, passed: str, detail: str, order: str, columns
 
 for _key, _args in _DQ.items():
     _SQL[_key] = _check(*_args)
-_SQL["dq_malformed_contracts"] = _bad("malformed_contracts", "ERROR", "count(*) = 0", "count(*) || ' contracts with end_date before start_date'",
+_SQL["dq_malformed_contracts"] = _bad("malformed_contracts", "ERROR", "count(*) = 0", "count(*) || ' contracts end too early'",
     "contract_id", ("contract_id", "account_id", "start_date", "end_date"), "SELECT * FROM all_contracts WHERE end_date < start_date")
-_SQL["dq_duplicate_log_ids"] = _bad("duplicate_log_ids", "ERROR", "count(*) = 0", "count(*) || ' duplicate log_ids found'",
+_SQL["dq_duplicate_log_ids"] = _bad("duplicate_log_ids", "ERROR", "count(*) = 0", "count(*) || ' ids used twice or more'",
     "log_id", ("log_id", "cnt"), "SELECT log_id, count(*) AS cnt FROM logs GROUP BY log_id HAVING count(*) > 1")
 _SQL["dq_contracts_missing_accounts"] = _bad("contracts_missing_accounts", "ERROR", "count(*) = 0",
-    "count(*) || ' contracts reference non-existent account_ids'", "contract_id", ("contract_id", "account_id"), _SQL["contracts_missing_accounts"])
+    "count(*) || ' contracts without account'", "contract_id", ("contract_id", "account_id"), _SQL["contracts_missing_accounts"])
 _SQL["dq_accounts_missing_reps"] = _bad("accounts_missing_reps", "ERROR", "count(*) = 0",
-    "count(*) || ' accounts reference non-existent employee_ids'", "account_id", ("account_id", "employee_id"), _SQL["accounts_missing_reps"])
+    "count(*) || ' accounts without rep'", "account_id", ("account_id", "employee_id"), _SQL["accounts_missing_reps"])
 _SQL["dq_orphaned_usage"] = f"""WITH bad AS (SELECT account_id, count(*) AS orphan_count FROM orphan_logs GROUP BY account_id)
     SELECT 'orphaned_usage' AS test_name, 'WARNING' AS severity, count(*) = 0 AS passed, {big('coalesce(sum(orphan_count), 0)')} AS row_count,
-    CAST(coalesce(sum(orphan_count), 0) AS BIGINT) || ' orphaned log rows across ' || count(*) || ' unknown account_ids' AS detail,
+    CAST(coalesce(sum(orphan_count), 0) AS BIGINT) || ' logs, ' || count(*) || ' unknown ids' AS detail,
     {_rows('orphan_count DESC, account_id', 'account_id', 'orphan_count')} AS sample_rows FROM bad"""
 _SQL["dq_out_of_contract"] = _check("out_of_contract", "WARNING", "count(*) = 0", "count(*)",
-    "count(*) || ' log rows with usage outside all contract windows'", "''", "rogue_logs")
+    "count(*) || ' logs out of term'", "''", "rogue_logs")
 _PCT = "CAST(CAST(round(CAST({0} * 100 AS DECIMAL(28,6)), 1) AS DECIMAL(10,1)) AS VARCHAR) || '%'"
 _SQL["dq_shelfware_rate"] = f"""WITH c AS (SELECT count(*) AS active_accounts, {cnt('u.account_id IS NULL')} AS zero_usage_accounts
       FROM (SELECT DISTINCT account_id FROM contracts WHERE {D} BETWEEN start_date AND end_date) a LEFT JOIN
       (SELECT DISTINCT account_id FROM logs WHERE date BETWEEN {D} - 90 AND {D} AND compute_credits_consumed > 0) u USING (account_id)),
     r AS (SELECT *, {rnd(div('zero_usage_accounts', 'active_accounts'), 4)} AS shelfware_rate FROM c)
     SELECT 'shelfware_rate' AS test_name, 'WARNING' AS severity, coalesce(shelfware_rate, 0.0) <= 0.15 AS passed, zero_usage_accounts AS row_count,
-    'Shelfware rate: ' || {_PCT.format('shelfware_rate')} || ' (' || zero_usage_accounts || ' of ' || active_accounts || ' active accounts). Alert threshold: 15%' AS detail,
+    {_PCT.format('shelfware_rate')} || ' idle: ' || zero_usage_accounts || '/' || active_accounts || ', limit 15%' AS detail,
     '{{"active_accounts":' || active_accounts || ',"zero_usage_accounts":' || zero_usage_accounts || ',"shelfware_rate":' || shelfware_rate || '}}' AS sample_rows FROM r"""
-_SQL["dq_overlapping_contracts"] = _bad("overlapping_contracts", "INFO", "TRUE", "count(*) || ' accounts have >1 active contract'",
+_SQL["dq_overlapping_contracts"] = _bad("overlapping_contracts", "INFO", "TRUE", "count(*) || ' accounts with several terms'",
     "active_contracts DESC, account_id", ("account_id", "active_contracts"),
     f"SELECT account_id, count(*) AS active_contracts FROM contracts WHERE {D} BETWEEN start_date AND end_date GROUP BY 1 HAVING count(*) > 1")
 _SQL["dq_new_account_rate"] = f"""WITH c AS (SELECT count(*) AS active_accounts, {cnt(f's >= {D} - 90')} AS ramping_accounts
       FROM (SELECT account_id, min(start_date) AS s FROM contracts WHERE {D} BETWEEN start_date AND end_date GROUP BY 1)),
     r AS (SELECT *, {rnd(div('ramping_accounts', 'active_accounts'), 4)} AS ramping_rate FROM c)
     SELECT 'new_account_rate' AS test_name, 'INFO' AS severity, TRUE AS passed, ramping_accounts AS row_count,
-    'Ramping accounts: ' || {_PCT.format('ramping_rate')} || ' (' || ramping_accounts || ' of ' || active_accounts || ')' AS detail,
+    {_PCT.format('ramping_rate')} || ' new: ' || ramping_accounts || '/' || active_accounts AS detail,
     '{{"active_accounts":' || active_accounts || ',"ramping_accounts":' || ramping_accounts || ',"ramping_rate":' || ramping_rate || '}}' AS sample_rows FROM r"""
 _ALL_DQ = ("dq_null_pk", "dq_negative_credits", "dq_malformed_contracts", "dq_duplicate_log_ids", "dq_contracts_missing_accounts",
     "dq_accounts_missing_reps", "dq_orphaned_usage", "dq_out_of_contract", "dq_shelfware_rate", "dq_overlapping_contracts", "dq_new_account_rate")
@@ -681,11 +681,11 @@ _SQL["consistent_overage"] = f"""WITH mc AS (SELECT l.account_id, date_trunc('mo
     FROM rated GROUP BY account_id HAVING {cnt('credits > allowance * 1.2::DOUBLE')} >= count(*) * 0.5"""
 _SQL["orphan_profile"] = f"""SELECT account_id, count(*) AS orphan_log_count, min(date) AS earliest_log, max(date) AS latest_log,
     {rnd(amt('compute_credits_consumed'), 0)} AS total_credits FROM orphan_logs GROUP BY account_id"""
-_SQL["edge_case_scorecard"] = f"""SELECT 'Spike & Drop' AS edge_case, count(*) AS count, 'any' AS expected FROM spikes
-    UNION ALL SELECT 'Shelfware', count(*), 'any' FROM accounts a WHERE NOT EXISTS (SELECT 1 FROM logs l WHERE l.account_id = a.account_id)
-    UNION ALL SELECT 'Orphaned Logs (ghost IDs)', count(*), 'any' FROM orphan_logs
-    UNION ALL SELECT 'Rogue Logs (out-of-contract)', count(*), 'any' FROM rogue_logs
-    UNION ALL SELECT 'Mid-Year Expansions (accounts)', count(DISTINCT account_id), 'any' FROM ({_SQL['overlapping_pairs']})"""
+_SQL["edge_case_scorecard"] = f"""SELECT 'spike_drop_accounts' AS edge_case, count(*) AS count, 'any' AS expected FROM spikes
+    UNION ALL SELECT 'shelfware_accounts', count(*), 'any' FROM accounts a WHERE NOT EXISTS (SELECT 1 FROM logs l WHERE l.account_id = a.account_id)
+    UNION ALL SELECT 'orphaned_usage', count(*), 'any' FROM orphan_logs
+    UNION ALL SELECT 'out_of_contract_usage', count(*), 'any' FROM rogue_logs
+    UNION ALL SELECT 'accounts_with_overlap', count(DISTINCT account_id), 'any' FROM ({_SQL['overlapping_pairs']})"""
 
 # Compensation
 _MULT = "CASE term_years WHEN 1 THEN 1.0::DOUBLE WHEN 2 THEN 1.2::DOUBLE WHEN 3 THEN 1.35::DOUBLE WHEN 5 THEN 1.5::DOUBLE END"

@@ -60,7 +60,7 @@ def test_null_keys_are_counted(messy):
         "nullif(log_id, 40) log_id", "account_id", "date", "compute_credits_consumed"))
     got = quality.null_primary_keys(nulls).first()
     assert (got.passed, got.row_count) == (False, 1)
-    assert got.detail == "1 NULL primary keys in: daily_usage_logs"
+    assert got.detail == "1 null keys; tables daily_usage_logs"
 
 
 def test_a_check_that_cannot_run_fails_as_an_error(messy):
@@ -92,7 +92,7 @@ def test_spike_month_and_scorecard(spark):
     assert {r.account_id for r in edge_cases.spike_drop_accounts(t, date(2024, 1, 1)).collect()} == {9}
     card = rows(edge_cases.edge_case_scorecard(t, {"Shelfware": "~100"}), "edge_case")
     assert (card["Shelfware"]["count"], card["Shelfware"]["expected"]) == (1, "~100")
-    assert card["Orphaned Logs (ghost IDs)"]["count"] == 1
+    assert card["orphaned_usage"]["count"] == 1
 
 
 def test_amendments_and_versions(spark):
