@@ -91,7 +91,7 @@ def test_spike_month_and_scorecard(spark):
     assert [(r.account_id, r.month_1_credits, r.month_1_share) for r in got][0] == (1, 500.0, 0.93)
     assert {r.account_id for r in edge_cases.spike_drop_accounts(t, date(2024, 1, 1)).collect()} == {9}
     card = rows(edge_cases.edge_case_scorecard(t, {"shelfware_accounts": "~100"}), "edge_case")
-    assert (card["shelfware_accounts"]["count"], card["Shelfware"]["expected"]) == (1, "~100")
+    assert (card["shelfware_accounts"]["count"], card["shelfware_accounts"]["expected"]) == (1, "~100")
     assert card["orphaned_usage"]["count"] == 1
 
 
