@@ -216,15 +216,16 @@ def _goes() -> Column:
     return F.coalesce(F.col("first_link") < F.col("first"), F.lit(False))
 
 
-def report(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
-    """One row per class of equal lines: where it begins, its copies and links, the earliest link, and whether it stays."""
+def _place(order: Column) -> list[Column]:
+    """doc_id and line number of an order."""
+    number = F.pmod(order, F.lit(LINES).cast("decimal(11,0)"))
+    key = ((order - number) / F.lit(LINES).cast("decimal(11,0)")).cast("long")
+    return [F.when(key != NO_ID, key), number.cast("long")]
 
-    def place(order: str) -> list[Column]:
-        number = F.pmod(F.col(order), F.lit(LINES).cast("decimal(11,0)"))
-        key = ((F.col(order) - number) / F.lit(LINES).cast("decimal(11,0)")).cast("long")
-        return [F.when(key != NO_ID, key), number.cast("long")]
 
-    own, other = place("first"), place("first_link")
+def report(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
+    """One row per class of equal lines: where it begins, its copies and links, the earliest link, and whether it stays."""
+    own, other = _place(F.col("first")), _place(F.col("first_link"))
     return judged(documents, edits, min_chars).select(
         own[0].alias("doc_id"),
         own[1].alias("line_no"),
@@ -236,6 +237,28 @@ def report(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFra
     )
 
 
+def members(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
+    """One row per line: its class (place of the first copy), the class's copies, links and earliest link, and whether the line stays."""
+    # A class of one line without links is the line itself, so only the others meet their lines.
+    told = judged(documents, edits, min_chars).filter((F.col("n_copies") > 1) | F.col("n_links").isNotNull())
+    told = materialise(told, "line-classes")
+    joined = lines(documents).select("doc_id", "line_no", "hash").join(told, "hash", "left")
+    own, first, other = _order(), _place(F.col("first")), _place(F.col("first_link"))
+    alone = F.col("first").isNull()
+    copy = F.coalesce(F.col("pure") & (own != F.col("first")), F.lit(False))
+    return joined.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("line_no").cast("long").alias("line_no"),
+        F.when(alone, F.col("doc_id").cast("long")).otherwise(first[0]).alias("class_doc_id"),
+        F.when(alone, F.col("line_no").cast("long")).otherwise(first[1]).alias("class_line_no"),
+        F.coalesce("n_copies", F.lit(1)).cast("long").alias("n_copies"),
+        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        other[0].alias("link_doc_id"),
+        other[1].alias("link_line_no"),
+        (~copy & ~_goes()).alias("kept"),
+    )
+
+
 def dedup(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
     """The documents without lines that repeat an earlier line or are within `edits` of one; all columns stay."""
     verdict = judged(documents, edits, min_chars).filter("pure").select("hash", "first", _goes().alias("goes"))

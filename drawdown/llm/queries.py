@@ -37,7 +37,7 @@ def op2_hpy_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return line_dedup.report(table(spark, sf_dir, "documents"))
+    return line_dedup.members(table(spark, sf_dir, "documents"))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -168,6 +168,26 @@ def test_line_links_by_brute_force(spark):
     assert [r.text for r in line_dedup.dedup(df).sort("doc_id").collect()] == want
 
 
+def test_every_line_has_its_class(spark, tmp_path):
+    from drawdown.llm import queries
+
+    near = "a line that is long enough to be linked"
+    texts = ["one\n" + near, None, near + "s\ntwo\n\none", "one\n" + near, "two"]
+    rows = [*enumerate(texts), (None, "two\nlast")]
+    df = spark.createDataFrame(rows, "doc_id LONG, text STRING")
+    names = ("doc_id", "line_no", "class_doc_id", "class_line_no", "n_copies", "n_links", "link_doc_id", "link_line_no", "kept")
+    want = {
+        (0, 0, 0, 0, 3, 0, None, None, True), (0, 1, 0, 1, 2, 1, 2, 0, True),
+        (2, 0, 2, 0, 1, 1, 0, 1, False), (2, 1, 2, 1, 3, 0, None, None, True), (2, 3, 0, 0, 3, 0, None, None, False),
+        (3, 0, 0, 0, 3, 0, None, None, False), (3, 1, 0, 1, 2, 1, 2, 0, False),
+        (4, 0, 2, 1, 3, 0, None, None, False),
+        (None, 0, 2, 1, 3, 0, None, None, False), (None, 1, None, 1, 1, 0, None, None, True),
+    }
+    df.write.parquet(f"{tmp_path}/documents.parquet")
+    got = [tuple(r) for r in queries.op3_line_dedup(spark, str(tmp_path)).select(*names).collect()]
+    assert len(got) == len(want) and set(got) == want
+
+
 def test_removed_bytes_by_brute_force(spark):
     rng = random.Random(6)
     parts = [words(rng, 40) for _ in range(6)] + ["é" * 90, "The " * 60]
