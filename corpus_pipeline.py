@@ -21,8 +21,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines that repeat an earlier line, or nearly do, go from the texts; `n_chars` follows."""
-    out = line_dedup.dedup(docs)
+    """Lines that repeat an earlier line, or nearly do, go from the texts, and with its last line a document; `n_chars` follows."""
+    out = line_dedup.dedup(docs, emptied=False)
     if "n_chars" in out.columns:
         kind = docs.schema["n_chars"].dataType
         out = out.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))

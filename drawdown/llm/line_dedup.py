@@ -259,8 +259,11 @@ def members(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFr
     )
 
 
-def dedup(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFrame:
-    """The documents without lines that repeat an earlier line or are within `edits` of one; all columns stay."""
+def dedup(documents: DataFrame, edits: int = 2, min_chars: int = 20, emptied: bool = True) -> DataFrame:
+    """The documents without lines that repeat an earlier line or are within `edits` of one; all columns stay.
+
+    A document whose every line with a word went stays without words, or goes too where `emptied` is false.
+    """
     verdict = judged(documents, edits, min_chars).filter("pure").select("hash", "first", _goes().alias("goes"))
     marked = (
         lines(documents.select("doc_id", "text"), F.xxhash64(whole("text")).alias("_key"))
@@ -278,4 +281,6 @@ def dedup(documents: DataFrame, edits: int = 2, min_chars: int = 20) -> DataFram
         return F.array_join(F.transform(stay, lambda i: F.get(pieces, i)), "\n")
 
     text = F.when(F.col("_out").isNull(), documents["text"]).otherwise(let(F.split(whole(documents["text"]), "\n"), without))
-    return joined.select(*[text.alias(c) if c == "text" else documents[c] for c in documents.columns])
+    gone = F.col("_out").isNotNull() & ~F.col("text").rlike(NOT_BLANK)
+    cut = joined.select(*[text.alias(c) if c == "text" else documents[c] for c in documents.columns], "_out")
+    return (cut if emptied else cut.filter(~gone)).drop("_out")

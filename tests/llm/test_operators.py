@@ -325,3 +325,19 @@ def test_pipeline_stages(spark, sf_dir, docs):
         before = after
     packed = corpus_pipeline.STAGES[-1][1](spark, before, sf_dir)
     assert packed.select("doc_id").distinct().count() == before.count()
+
+
+def test_planted_copies_leave_the_pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    rng = random.Random(12)
+    base = ["\n".join(words(rng, 12) for _ in range(5)) for _ in range(4)]
+    near = base[2].replace("a", "e", 1)
+    planted = [*base, base[0], base[0], base[1].replace("\n", "\n\n"), near, base[3] + "\n" + words(rng, 12), "", None]
+    rows = [(i, t, None, None, len(t or ""), None, None) for i, t in enumerate(planted)] + [(None, base[1], None, None, 0, None, None)]
+    before = spark.createDataFrame(rows, DOCS)
+    for name, stage in corpus_pipeline.STAGES[1:3]:
+        before = corpus_pipeline.materialise(stage(spark, before, sf_dir), f"test-{name}")
+    assert sorted(r.doc_id for r in before.collect()) == [0, 1, 2, 3, 8, 9, 10]
+    packed = corpus_pipeline.STAGES[-1][1](spark, before, sf_dir)
+    assert {r.doc_id for r in packed.collect()} == {0, 1, 2, 3, 8, 9, 10}
