@@ -331,6 +331,14 @@ def _stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).parquet(path)
 
 
+def _stream_daily_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day, also those the watermark has not passed yet."""
+    path = work_dir(spark, "daily-updates")
+    updates = jobs.daily_updates(_events(spark, sf_dir))
+    jobs.run_available(spark, updates, "daily-log", foreach=jobs.daily_upsert(path), mode="update")
+    return jobs.daily_table(spark, path)
+
+
 def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event arrives twice; one of each remains."""
     twice = _events(spark, sf_dir).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
@@ -383,6 +391,7 @@ def _stream_inactivity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _QUERIES["stream_daily_usage"] = _stream_daily
+_QUERIES["stream_daily_usage_all"] = _stream_daily_all
 _QUERIES["stream_dedup"] = _stream_dedup
 _QUERIES["stream_guarded"] = _stream_guarded
 _QUERIES["stream_inactivity"] = _stream_inactivity

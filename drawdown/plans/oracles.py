@@ -819,6 +819,8 @@ _SQL["scd2_contracts"] = f"""WITH p AS (SELECT DISTINCT c.*, d.day FROM all_cont
 # Streams: what is final once the watermark has passed
 _SQL["stream_daily_usage"] = """SELECT * FROM (SELECT user_id AS account_id, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) AS credits_consumed, count(*) AS log_count
     FROM events GROUP BY ALL) WHERE date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""
+_SQL["stream_daily_usage_all"] = """SELECT user_id AS account_id, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) AS credits_consumed, count(*) AS log_count,
+    CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY AS is_final FROM events WHERE ts IS NOT NULL GROUP BY user_id, CAST(ts AS DATE)"""
 _SQL["stream_dedup"] = "SELECT event_id AS log_id, user_id AS account_id, CAST(ts AS DATE) AS date, value AS credits FROM events"
 _SQL["stream_guarded"] = """SELECT event_id AS log_id, user_id AS account_id, CAST(ts AS DATE) AS date, value AS credits,
     CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id AND CAST(ts AS DATE) BETWEEN DATE '2023-12-25' + CAST(c_custkey % 20 AS INTEGER)

@@ -55,6 +55,60 @@ def daily_usage(stream: DataFrame, lateness: str = "2 days") -> DataFrame:
     )
 
 
+DAILY = (
+    "account_id BIGINT, date DATE, credits_consumed DOUBLE, log_count BIGINT, last_ts TIMESTAMP, batch_id BIGINT"
+)
+
+
+def daily_updates(stream: DataFrame, lateness: str = "2 days") -> DataFrame:
+    """Totals so far per account and day and the last event in them, for update mode: no day waits for the watermark."""
+    return (
+        stream.withWatermark("ts", lateness)
+        .groupBy(F.window("ts", "1 day").alias("w"), "account_id")
+        .agg(
+            F.sum(F.col("credits").cast("decimal(28,12)")).cast("double").alias("credits_consumed"),
+            F.count(F.lit(1)).alias("log_count"),
+            F.max("ts").alias("last_ts"),
+        )
+        .select(
+            "account_id",
+            utc_clock(F.col("w.start")).cast("date").alias("date"),
+            "credits_consumed",
+            "log_count",
+            "last_ts",
+        )
+    )
+
+
+def daily_upsert(path: str) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer of changed totals; a replayed batch replaces its own rows."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        (
+            batch.withColumn("batch_id", F.lit(batch_id).cast("long"))
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy("batch_id")
+            .parquet(path)
+        )
+
+    return write
+
+
+def daily_table(spark: SparkSession, path: str, lateness: str = "2 days") -> DataFrame:
+    """One row per account and day, by its newest total; a day is final once the watermark has passed its end."""
+    updates = spark.read.schema(DAILY).parquet(path)
+    total = F.struct("credits_consumed", "log_count")
+    newest = updates.groupBy("account_id", "date").agg(F.max_by(total, "batch_id").alias("total"))
+    mark = updates.agg((utc_clock(F.max("last_ts")) - F.expr(f"interval {lateness}")).alias("mark"))
+    return newest.crossJoin(mark).select(
+        "account_id",
+        "date",
+        "total.*",
+        (F.date_add("date", 1).cast("timestamp_ntz") <= F.col("mark")).alias("is_final"),
+    )
+
+
 def dedup(stream: DataFrame, lateness: str = "2 days") -> DataFrame:
     """First occurrence of each log id within the watermark."""
     return stream.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["log_id"])
@@ -117,7 +171,7 @@ def inactivity(stream: DataFrame, quiet: str = "30 days", lateness: str = "1 hou
 
 
 def run_available(
-    spark: SparkSession, stream: DataFrame, purpose: str, foreach: Callable | None = None
+    spark: SparkSession, stream: DataFrame, purpose: str, foreach: Callable | None = None, mode: str = "append"
 ) -> str:
     """Process everything available, then stop; returns the result folder."""
     root = work_dir(spark, purpose)
@@ -125,7 +179,7 @@ def run_available(
         "checkpointLocation", f"{root}/checkpoint"
     )
     if foreach is not None:
-        writer = writer.foreachBatch(foreach)
+        writer = writer.foreachBatch(foreach).outputMode(mode)
     else:
         writer = writer.format("parquet").option("path", f"{root}/table").outputMode("append")
     query = writer.start()

@@ -124,6 +124,32 @@ def test_daily_usage_drops_what_comes_after_the_watermark(spark, tmp_path):
     assert got == {(d("2024-01-01"), 5.0), (d("2024-01-10"), 1.0), (d("2024-01-12"), 2.0)}
 
 
+def test_daily_updates_hold_the_last_days_and_survive_a_replay(spark, tmp_path):
+    batches = [
+        [(1, 1, "2024-01-01T10:00", 5.0), (2, 2, "2024-01-02T10:00", 1.0)],
+        [(3, 1, "2024-01-01T12:00", 2.0), (4, 1, "2024-01-04T00:00", 3.0)],
+    ]
+    table = f"{tmp_path}/daily"
+    write = jobs.daily_upsert(table)
+    updates = jobs.daily_updates(_stream(spark, tmp_path, batches, "updates"))
+    jobs.run_available(spark, updates, "t", foreach=write, mode="update")
+    want = {
+        (1, d("2024-01-01"), 7.0, 2, True),
+        (2, d("2024-01-02"), 1.0, 1, False),
+        (1, d("2024-01-04"), 3.0, 1, False),
+    }
+
+    def got():
+        return [tuple(r) for r in jobs.daily_table(spark, table).collect()]
+
+    assert set(got()) == want and len(got()) == len(want)
+    newest = spark.read.parquet(table).agg(F.max("batch_id")).first()[0]
+    again = spark.read.schema(jobs.DAILY).parquet(table).filter(F.col("batch_id") == newest).drop("batch_id")
+    again = spark.createDataFrame(again.collect(), again.schema)
+    write(again, newest)
+    assert set(got()) == want and len(got()) == len(want)
+
+
 def test_dedup_across_batches(spark, tmp_path):
     batches = [
         [(1, 1, "2024-01-01T10:00", 5.0), (1, 1, "2024-01-01T10:00", 5.0)],
@@ -233,3 +259,7 @@ def test_every_query_has_an_oracle(spark):
 
     assert set(entry.queries()) == set(entry.oracle_sql())
     assert entry.entry(spark).count() > 0
+
+
+def test_daily_updates_equal_the_oracle_over_all_days(spark, sf_dir):
+    test_query_equals_oracle(spark, sf_dir, "stream_daily_usage_all")
