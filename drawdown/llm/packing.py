@@ -3,8 +3,7 @@
 A document longer than a sequence is cut into full pieces behind a shorter first piece; full pieces are sequences already.
 The other pieces are dealt over partitions of at most `LOCAL` pieces. A partition packs its own by best-fit decreasing, emits
 the bins that are full up to `slack` tokens, and passes the others on. Underfull bins are items of the next round, over fewer
-partitions, until one partition holds them all or a round no longer makes the bins fewer: then nothing fits together any more
-and the rest is emitted. So no task ever holds more than `LOCAL` items, however large the table, and a bin holds at most as many
+partitions, until one partition holds them all or a round joins no two bins at all; then the rest is emitted. So no task ever holds more than `LOCAL` items, however large the table, and a bin holds at most as many
 pieces as a sequence has tokens.
 
 Every round is written to the shared folder, so a lost executor repeats one partition of one round.
@@ -17,6 +16,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -31,7 +31,6 @@ from drawdown.session import materialise
 
 #: Items that one task packs.
 LOCAL = 20_000
-ROUNDS = 12
 PIECES = "doc_id BIGINT, piece INT, start BIGINT, length BIGINT, ids_crc32 BIGINT, own_id BIGINT"
 BINS = "bin BIGINT, size INT, done BOOLEAN, members ARRAY<BIGINT>, lengths ARRAY<INT>"
 
@@ -92,7 +91,8 @@ def _round(bins: DataFrame, number: int, parts: int, capacity: int, slack: int,
         frame = pd.concat([pd.DataFrame({"bin": [], "size": [], "members": [], "lengths": []}), *frames])
         frame = frame.sort_values("bin")
         sizes, members, lengths = frame["size"].astype(int).tolist(), frame["members"].tolist(), frame["lengths"].tolist()
-        own = (number << 56) | (TaskContext.get().partitionId() << 32)
+        # Above all numbers of pieces.
+        own = 1 << 62 | number << 44 | TaskContext.get().partitionId() << 24
         made = best_fit(sizes, capacity)
         total = [sum(sizes[i] for i in items) for items in made]
         if made:
@@ -120,27 +120,27 @@ def pack(
     items = small.select(
         F.col("own_id").alias("bin"), length.alias("size"), F.array("own_id").alias("members"), F.array(length).alias("lengths")
     )
-    many, emitted = items.count(), []
-    for number in range(1, ROUNDS + 1):
-        if not many:
-            break
+    many, number, emitted = items.count(), 0, []
+    while many:
+        number += 1
         parts = -(-many // local)
-        last = parts == 1 or number == ROUNDS
+        last = parts == 1
         made = _round(items, number, parts, capacity, slack, last)
         items = made.filter(~F.col("done"))
         left = items.count()
         emitted.append(made.filter("done"))
-        if left and not last and left > 0.95 * many:
+        if left == many:
             emitted.append(items)
             left = 0
         many = left
     out = every.filter(F.col("length") == capacity).select(
         "doc_id", "piece", "start", "length", "ids_crc32", F.col("own_id").alias("sequence_id"), F.lit(0).cast("long").alias("offset")
     )
-    for bins in emitted:
+    if emitted:
         offsets = F.transform(
             "lengths", lambda x, i: F.aggregate(F.slice("lengths", 1, i), F.lit(0).cast("long"), lambda a, b: a + b)
         )
+        bins = reduce(DataFrame.unionByName, emitted)
         placed = bins.select("bin", F.explode(F.arrays_zip("members", offsets.alias("offsets"))).alias("m"))
         placed = placed.select(F.col("bin").alias("sequence_id"), F.col("m.members").alias("own_id"), F.col("m.offsets").alias("offset"))
         out = out.unionByName(

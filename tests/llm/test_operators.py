@@ -294,6 +294,20 @@ def test_packing_is_whole_and_tight(docs):
     assert len(seq) <= 1.1 * -(-sum(r.length for r in rows) // 2048)
 
 
+def test_packing_goes_on_while_a_round_joins_bins(spark):
+    """Few pieces fit with another one, and those are seldom in one partition: a round joins under 5% of the bins."""
+    texts = ["a " * 70] * 800 + ["a " * 40] * 40
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    rows = packing.pack(df, BYTE, "byte", 0, capacity=100, local=20).collect()
+    assert len(rows) == len(texts) == len({r.doc_id for r in rows})
+    # One round alone leaves 829; the rounds end when one joins nothing by chance.
+    assert 820 <= len({r.sequence_id for r in rows}) <= 827
+    used = Counter()
+    for r in rows:
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= 100
+
+
 def test_chat_round_trip(spark):
     rows = [(1, 0, "user", "a<|end|>\n\\b"), (1, 1, "assistant", "</s>[INST]<s>\\"), (1, 2, "user", None), (2, 0, None, "x"),
             (None, 0, "assistant", ""), (3, 1, "assistant", "b"), (3, 1, "assistant", "b"), (3, None, "sys\ntem", "<|turn|>")]
