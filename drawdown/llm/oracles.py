@@ -64,5 +64,106 @@ FROM placed GROUP BY conv_id
 """
 
 
+# One row for each id, all pairs of anchors and rows, windows by rank.
+OP11 = """
+WITH parts AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), rows_ AS (
+  SELECT vec_id, unnest(min(struct_pack(label := label, q := q))) FROM parts
+  WHERE len(q) = (SELECT len(q) FROM parts GROUP BY 1 ORDER BY count(*) DESC, 1 DESC LIMIT 1)
+  GROUP BY vec_id
+), pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS alike, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM rows_ a JOIN rows_ b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM pairs WHERE alike
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+  CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank,
+  n.id AS negative_id, p.positive_score, n.score AS negative_score
+FROM positives p JOIN pairs n ON n.anchor_id = p.anchor_id AND NOT n.alike
+  AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+# Stops of targets from running sums, multipliers by bisection, and one walk along all keys of a source. The walk goes beyond the
+# operator's candidates only in sources with over a thousand documents of broken rate.
+OP12 = r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size FROM documents
+), sources AS (
+  SELECT *, 1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS weight
+  FROM (SELECT source, CAST(sum(size) AS BIGINT) AS s, count(*) AS n_docs FROM docs GROUP BY source)
+), stops AS (  -- sources in the order in which they reach three times their size
+  SELECT source, s, n_docs, weight, CAST(s AS DOUBLE) / weight AS ratio,
+    sum(s) OVER () - 3 * sum(s) OVER before AS rest, sum(weight) OVER () - coalesce(sum(weight) OVER before2, 0) AS open_,
+    sum(s) OVER () - 3 * coalesce(sum(s) OVER before2, 0) AS rest_before
+  FROM sources
+  WINDOW before AS (ORDER BY CAST(s AS DOUBLE) / weight, source ROWS UNBOUNDED PRECEDING),
+    before2 AS (ORDER BY CAST(s AS DOUBLE) / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), level AS (
+  SELECT rest_before AS rest, open_ AS w FROM stops WHERE weight * rest_before <= 3 * s * open_ ORDER BY ratio, source LIMIT 1
+), targets AS (
+  SELECT source, s, CAST(s AS DOUBLE) / n_docs AS mean, weight * rest > 3 * s * w AS full_,
+    CASE WHEN weight * rest > 3 * s * w THEN CAST(3 * s AS DOUBLE) ELSE CAST(weight * rest AS DOUBLE) / CAST(w AS DOUBLE) END AS target
+  FROM sources, level
+), cells AS (
+  SELECT source, size, count(*) AS n FROM docs WHERE size > 0 GROUP BY ALL
+), halving AS (  -- the multiplier by bisection
+  SELECT source, -1000.0::DOUBLE AS low, 1000.0::DOUBLE AS high, 0 AS k FROM targets WHERE NOT full_ AND target > 0
+  UNION ALL
+  SELECT source, CASE WHEN reached < target THEN mid ELSE low END, CASE WHEN reached < target THEN high ELSE mid END, k + 1
+  FROM (
+    SELECT h.source, any_value(h.low) AS low, any_value(h.high) AS high, any_value((h.low + h.high) / 2) AS mid, any_value(k) AS k,
+      any_value(t.target) AS target, sum(c.n * c.size * least(3.0, exp(least((h.low + h.high) / 2 * (c.size / t.mean), 1.2)))) AS reached
+    FROM halving h JOIN targets t ON h.source IS NOT DISTINCT FROM t.source JOIN cells c ON h.source IS NOT DISTINCT FROM c.source
+    WHERE k < 90 GROUP BY h.source
+  )
+), rates AS (
+  SELECT d.*, t.s, t.target, CASE WHEN d.size = 0 THEN 0.0 WHEN t.full_ THEN 3.0
+    ELSE least(3.0, exp(least((h.low + h.high) / 2 * (d.size / t.mean), 1.2))) END AS rate
+  FROM docs d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+  LEFT JOIN halving h ON h.k = 90 AND h.source IS NOT DISTINCT FROM d.source
+), parts AS (
+  SELECT *, CAST(floor(rate) AS BIGINT) AS whole, rate - floor(rate) AS part,
+    (CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || size), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0 AS h
+  FROM rates
+), keyed AS (
+  SELECT *, CASE WHEN part > 0 THEN CAST(floor(h * (1 - part) / (h * (1 - part) + part * (1 - h)) * 4503599627370496.0) AS BIGINT) END AS key
+  FROM parts
+), items AS (
+  SELECT source, key, size, sum(size) AS words, row_number() OVER (PARTITION BY source ORDER BY key, size) AS pos
+  FROM keyed WHERE key IS NOT NULL GROUP BY source, key, size
+), need AS (
+  SELECT source, greatest(0, CAST(floor(any_value(target) + 0.5) AS BIGINT) - sum(size * whole)) AS left_ FROM keyed GROUP BY source
+), walk AS (
+  SELECT source, left_, 0::BIGINT AS pos, NULL::BIGINT AS key, NULL::BIGINT AS size, false AS got FROM need
+  UNION ALL
+  SELECT w.source, CASE WHEN i.words <= w.left_ THEN w.left_ - i.words ELSE w.left_ END, i.pos, i.key, i.size, i.words <= w.left_
+  FROM walk w JOIN items i ON i.source IS NOT DISTINCT FROM w.source AND i.pos = w.pos + 1
+), ends AS (
+  SELECT source, arg_max(left_, pos) AS left_ FROM walk GROUP BY source
+), nearer AS (
+  SELECT i.source, i.key, i.size FROM items i JOIN walk w ON w.source IS NOT DISTINCT FROM i.source AND w.pos = i.pos AND NOT w.got
+  JOIN ends e ON e.source IS NOT DISTINCT FROM i.source AND i.words < 2 * e.left_
+  QUALIFY row_number() OVER (PARTITION BY i.source ORDER BY i.words, i.key, i.size) = 1
+), extra AS (
+  SELECT source, key, size FROM walk WHERE got UNION SELECT * FROM nearer
+)
+SELECT k.doc_id, k.size, k.s AS source_size, k.target, CAST(k.size * (k.whole + (x.key IS NOT NULL)::BIGINT) AS BIGINT) AS taken
+FROM keyed k LEFT JOIN extra x ON x.source IS NOT DISTINCT FROM k.source AND x.key = k.key AND x.size = k.size
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_decontaminate": OP8, "op9_chat": OP9}
+    return {
+        "op8_decontaminate": OP8,
+        "op9_chat": OP9,
+        "op11_hard_negatives": OP11,
+        "op12_mixing": OP12,
+    }

@@ -10,14 +10,17 @@ from drawdown.llm import (
     bagminhash,
     chat,
     decontaminate,
+    hard_negatives,
     hpy_lm,
     langid,
     line_dedup,
+    mixing,
     oracles,
     packing,
     quality_rules,
     suffix_dedup,
     token_store,
+    whitening,
 )
 from drawdown.llm.encoding import public_path
 
@@ -68,6 +71,18 @@ def op10_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.report(table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives.mine(table(spark, sf_dir, "embeddings"))
+
+
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     found = (
         op1_quality_rules,
@@ -80,6 +95,9 @@ def queries() -> dict[str, Query]:
         op8_decontaminate,
         op9_chat,
         op10_langid,
+        op11_hard_negatives,
+        op12_mixing,
+        op13_whitening,
     )
     return {f.__name__: f for f in found}
 
