@@ -15,11 +15,11 @@ from drawdown.functions import (
     true_if,
     value_at_risk,
 )
-from drawdown.model import RAMP_DAYS, TIER_CUTS, Tables
+from drawdown.model import RAMP_DAYS, TIER_CUTS, TRAILING_MONTHS, Tables
 from drawdown.operators.contracts import active_contracts
 from drawdown.operators.rates import trailing_stats
 from drawdown.operators.skew import salted_join
-from drawdown.operators.usage import monthly_consumption
+from drawdown.operators.usage import monthly_consumption, recent_consumption
 
 FACT_COLUMNS = (
     "account_id",
@@ -98,10 +98,16 @@ def account_fact(
     with_rates: bool = False,
     **params,
 ) -> DataFrame:
-    """The fact for one date, or for several dates from one pass over the logs."""
-    newest = max(as_of) if isinstance(as_of, (list, tuple)) else as_of
-    before = None if cutoff is None else newest.replace(day=1)
-    stats = trailing_stats(monthly_consumption(t, before=before), as_of, cutoff=cutoff)
+    """The fact for one date, or for several dates from one pass over the logs.
+
+    With complete months only the logs of the months it needs are read;
+    ``cutoff=None`` ranks future months too and reads them all.
+    """
+    if cutoff is None:
+        monthly = monthly_consumption(t)
+    else:
+        monthly = recent_consumption(t, as_of, TRAILING_MONTHS)
+    stats = trailing_stats(monthly, as_of, cutoff=cutoff)
     active = active_contracts(t.contracts, t.accounts, as_of)
     return account_metrics(active, stats, with_rates=with_rates, **params)
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -24,6 +24,7 @@ from drawdown.operators.contracts import (
     contract_months,
     covered_spans,
     is_covered,
+    valid_contracts,
 )
 from drawdown.operators.skew import salted_join
 
@@ -67,8 +68,11 @@ def daily_totals(logs: DataFrame) -> DataFrame:
     """Credits (in units) and log count per account and day.
 
     Every metric starts here: partial sums leave the scan, and a hot account is
-    spread over its days before anything is joined to it.
+    spread over its days before anything is joined to it. Rows of the stored
+    usage layer are such sums already.
     """
+    if "units" in logs.columns:
+        return logs.select("account_id", "date", "units", "log_count")
     return logs.groupBy("account_id", "date").agg(
         F.sum(to_units(F.col("compute_credits_consumed"))).alias("units"),
         F.count(F.lit(1)).alias("log_count"),
@@ -166,7 +170,11 @@ def monthly_consumption(
     ``before``, the first day of a month, leaves out that month and later ones.
     """
     grid = contract_months(t.contracts, t.accounts, before)
-    daily = _daily_before(t, before).select(
+    return _consumed(grid, _daily_before(t, before), rate_cap)
+
+
+def _consumed(grid: DataFrame, daily: DataFrame, rate_cap: float) -> DataFrame:
+    daily = daily.select(
         F.col("account_id").alias("_acct"), F.col("_month").alias("_m"), "date", "units"
     )
     match = (
@@ -193,6 +201,143 @@ def monthly_consumption(
     )
 
 
+#: Bits of the account filter of ``recent_consumption``, as words of 64: at most 128 KB in any plan.
+FILTER_WORDS = 1 << 14
+
+
+def recent_months(
+    t: Tables, as_of: date | list[date], k: int
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Grid rows among the last ``k`` complete months of accounts active at a snapshot date: recent ones, and older ones.
+
+    Recent are months from the ``k``-th before the first date on. They are few
+    and known, so one aggregate over contracts gives an account's row with all
+    of them. Only accounts that lack ``k`` of them, after a gap between
+    contracts, need older ones, and only their contracts are spread over months.
+    Third come these accounts with ``_bound``, a month that none they need lies
+    before. Only contracts are read; accounts are not looked up.
+    """
+    days = as_of if isinstance(as_of, (list, tuple)) else [as_of]
+    floor, end = _number(months_back(min(days), k)), _number(max(days))
+    valid = valid_contracts(t.contracts)
+    first, last = month_number(F.col("start_date")), month_number(F.col("end_date"))
+    inside = {m: (first <= m) & (last >= m) for m in range(floor, end)}
+    one, every = F.lit(1).cast("long"), F.lit((1 << 31) - 1).cast("long")
+    since = (-F.call_function("shiftleft", one, F.dayofmonth("start_date") - 1)).bitwiseAND(every)
+    until = F.call_function("shiftleft", one, F.dayofmonth("end_date")) - 1
+    columns = []
+    for m, covers in inside.items():
+        bits = F.when(first == m, since).otherwise(every).bitwiseAND(F.when(last == m, until).otherwise(every))
+        columns.append(F.sum(F.when(covers, F.col("included_monthly_compute_credits"))).alias(f"_credits_{m}"))
+        columns.append(F.bit_or(F.when(covers, bits)).alias(f"_days_{m}"))
+    for i, day in enumerate(days):
+        running = (F.col("start_date") <= as_date(day)) & (F.col("end_date") >= as_date(day))
+        columns.append(F.max(running).alias(f"_active_{i}"))
+    # A contract that ran k months before the floor has all that can be missing.
+    past = F.least(last, F.lit(floor - 1))
+    columns.append(F.max(F.when(past - first >= k - 1, past - k + 1)).alias("_full"))
+    columns.append(F.min(first).alias("_first"))
+    rows = valid.filter(F.col("start_date") <= as_date(max(days))).groupBy("account_id").agg(*columns)
+    none = F.array().cast("array<struct<_month:int,included_monthly_compute_credits:bigint,covered_days:bigint>>")
+    needed, missing = none, F.lit(0)
+    for i, day in enumerate(days):
+        months = F.array(
+            *[
+                F.struct(
+                    F.lit(m).alias("_month"),
+                    F.col(f"_credits_{m}").alias("included_monthly_compute_credits"),
+                    F.col(f"_days_{m}").alias("covered_days"),
+                )
+                for m in range(floor, _number(day))
+            ]
+        )
+        present = F.slice(F.reverse(F.filter(months, lambda x: x["covered_days"].isNotNull())), 1, k)
+        active = F.col(f"_active_{i}")
+        needed = F.array_union(needed, F.when(active, present).otherwise(none))
+        missing = F.greatest(missing, F.when(active, k - F.size(present)).otherwise(0))
+    rows = rows.filter(F.greatest(*[F.col(f"_active_{i}") for i in range(len(days))], F.lit(False)))
+    bound = F.coalesce("_full", "_first").alias("_bound")
+    rows = rows.select("account_id", needed.alias("_needed"), missing.alias("_missing"), bound)
+    recent = rows.select("account_id", F.inline("_needed"))
+    short = rows.filter((F.col("_missing") > 0) & (F.col("_bound") < floor)).drop("_needed")
+    gapped = t.contracts.join(short.select("account_id"), "account_id", "left_semi")
+    newest = W.partitionBy("account_id").orderBy(F.col("_month").desc())
+    older = (
+        contract_months(gapped, before=months_back(min(days), k))
+        .join(short, "account_id")
+        .withColumn("_rank", F.row_number().over(newest))
+        .filter(F.col("_rank") <= F.col("_missing"))
+        .select(*recent.columns)
+    )
+    return recent, older, short
+
+
+def _number(day: date) -> int:
+    return day.year * 12 + day.month - 1
+
+
+def _account_bit(account: Column) -> tuple[Column, Column]:
+    """Word and bit of an account in the account filter."""
+    bit = F.pmod(F.xxhash64(account), F.lit(FILTER_WORDS * 64))
+    return (bit / 64).cast("int"), (bit % 64).cast("int")
+
+
+def needed_logs(t: Tables, short: DataFrame, floor: date, before: date) -> DataFrame:
+    """Logs from ``floor`` on, and earlier ones of the accounts that need older months.
+
+    The bounds on the log date are a literal and one value computed from the
+    contracts, so both reach the Parquet filter (and the partitions, where logs
+    are stored by month). Older logs pass a filter of hashed account bits of fixed
+    size: it lets some through that nobody needs, which the join on (account,
+    month) drops, and none of those needed is lost. Both values are subqueries,
+    so nothing runs before the query does.
+    """
+    first = F.coalesce(F.min(month_start(F.col("_bound"))), as_date(floor))
+    lower = short.agg(first.alias("first")).scalar()
+    word, bit = _account_bit(F.col("account_id"))
+    one = F.lit(1).cast("long")
+    words = short.groupBy(word.alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", one, bit)).alias("bits")
+    )
+    bits = words.agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("m")).select(
+        F.transform(
+            F.sequence(F.lit(0), F.lit(FILTER_WORDS - 1)),
+            lambda i: F.coalesce(F.try_element_at("m", i), F.lit(0).cast("long")),
+        ).alias("w")
+    )
+    listed = F.element_at(bits.scalar(), word + 1)
+    needed = (F.col("date") >= as_date(floor)) | (F.call_function("getbit", listed, bit) == 1)
+    return between(t.logs, lower, before).filter(needed)
+
+
+def between(logs: DataFrame, first: Column, before: date) -> DataFrame:
+    """Logs from a day on and before another; the months of the storage layout are bounded too."""
+    day = F.col("date")
+    inside = logs.filter((day >= first) & (day < as_date(before)))
+    if "usage_month" in logs.columns:
+        month = F.col("usage_month")
+        inside = inside.filter((month >= F.trunc(first, "month")) & (month < as_date(before)))
+    return inside
+
+
+def recent_consumption(
+    t: Tables, as_of: date | list[date], k: int, rate_cap: float = RATE_CAP
+) -> DataFrame:
+    """``monthly_consumption`` of the months that trailing rates of active accounts look at, and no others."""
+    days = as_of if isinstance(as_of, (list, tuple)) else [as_of]
+    before, floor = max(days).replace(day=1), months_back(min(days), k)
+    recent, older, short = recent_months(t, days, k)
+    daily = daily_totals(needed_logs(t, short, floor, before))
+    daily = daily.withColumn("_month", month_number(F.col("date")))
+    return _consumed(recent.unionByName(older), daily, rate_cap)
+
+
+def months_back(day: date, k: int) -> date:
+    """First day of the ``k``-th month before a day's."""
+    number = _number(day) - k
+    return date(number // 12, number % 12 + 1, 1)
+
+
 def fact_monthly(t: Tables, as_of: date) -> DataFrame:
     """Account-month fact with the month's position since the first contract month."""
     past = monthly_consumption(t, before=as_of.replace(day=1))

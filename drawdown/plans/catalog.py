@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from drawdown.functions import round_half_up, utc_clock
-from drawdown.model import Tables
+from drawdown.functions import from_units, round_half_up, utc_clock
+from drawdown.model import ACCOUNT_FACT, Tables
 from drawdown.operators import (
     calendar,
     comp,
@@ -24,12 +26,14 @@ from drawdown.operators import (
 )
 from drawdown.operators.metrics import account_fact, with_rep
 from drawdown.session import materialise, work_dir
-from drawdown.sources import tpch
+from drawdown.sources import files, tpch, usage_store
 from drawdown.streaming import jobs
 
 AS_OF = tpch.AS_OF
 RUN_TS = datetime(2000, 6, 30, 8, 0, 0)
 SNAPSHOTS = [date(1999, 12, 31), date(2000, 3, 31), date(2000, 6, 30)]
+#: Columns of a stored snapshot without the run's time.
+FACT = T.StructType([f for f in ACCOUNT_FACT.fields if f.name != "calculated_at"])
 SOON = AS_OF - timedelta(days=90)
 EARLIER = AS_OF - timedelta(days=180)
 
@@ -255,6 +259,58 @@ def _snapshots(t: Tables) -> DataFrame:
     return account_fact(t, SNAPSHOTS)
 
 
+def _stored_snapshots(t: Tables) -> str:
+    """Three snapshots as a table of partitions, the last one written twice."""
+    path = work_dir(t.logs.sparkSession, "snapshots")
+    facts = materialise(_snapshots(t), "snapshot-facts")
+    for day in (*SNAPSHOTS, SNAPSHOTS[-1]):
+        files.write_snapshot(facts.filter(F.col("as_of_date") == F.lit(day)), path)
+    return path
+
+
+def _snapshot_latest(t: Tables) -> DataFrame:
+    """The newest of three stored snapshots, asked for on a later day than any."""
+    found = files.read_latest(t.logs.sparkSession, _stored_snapshots(t), FACT, date(2000, 7, 15))
+    return _six(found, "trailing_90d_avg_rate", "max_monthly_rate")
+
+
+def _snapshot_as_of(t: Tables) -> DataFrame:
+    """Between two stored dates the earlier one counts."""
+    found = files.read_latest(t.logs.sparkSession, _stored_snapshots(t), FACT, date(2000, 5, 15))
+    return _six(found, "trailing_90d_avg_rate", "max_monthly_rate")
+
+
+def _snapshot_dates(t: Tables) -> DataFrame:
+    return files.stored_dates(t.logs.sparkSession, _stored_snapshots(t))
+
+
+def _usage_store(t: Tables) -> tuple[str, str]:
+    """The usage layer after three deliveries of log files; returns the log folder and the store."""
+    spark = t.logs.sparkSession
+    logs, store = work_dir(spark, "log-files"), work_dir(spark, "usage-store")
+    part = F.pmod(F.xxhash64("log_id"), F.lit(3))
+    rows = materialise(t.logs.withColumn("_part", part), "log-rows")
+    for k in range(3):
+        delivered = rows.filter(F.col("_part") == k).drop("_part")
+        delivered.repartitionByRange("date", "log_id").write.parquet(f"{logs}/delivery={k}")
+        usage_store.refresh(spark, logs, store)
+    return logs, store
+
+
+def _usage_layer(t: Tables) -> DataFrame:
+    spark = t.logs.sparkSession
+    stored = usage_store.read(spark, _usage_store(t)[1])
+    return stored.select(
+        "account_id", "date", from_units(F.col("units")).alias("credits_consumed"), "log_count"
+    )
+
+
+def _fact_from_layer(t: Tables) -> DataFrame:
+    """The account fact from the stored usage layer instead of the raw logs."""
+    stored = usage_store.read(t.logs.sparkSession, _usage_store(t)[1])
+    return _six(_fact(replace(t, logs=stored)), "trailing_90d_avg_rate", "max_monthly_rate")
+
+
 def _owner_days(t: Tables) -> DataFrame:
     days = usage.guarded_daily(t).select("account_id", "date")
     return contracts.owner_as_of(days, contracts.owner_history(t.contracts), "date")
@@ -268,12 +324,11 @@ _add(
         t.logs.groupBy("date").agg(F.count(F.lit(1)).alias("usage_logs"))
     ),
     owner_as_of=_owner_days,
-    snapshot_latest=lambda t: _six(
-        views.snapshot_latest(_snapshots(t), date(2000, 5, 15)),
-        "trailing_90d_avg_rate",
-        "max_monthly_rate",
-    ),
-    snapshot_dates=lambda t: views.snapshot_dates(_snapshots(t)),
+    snapshot_latest=_snapshot_latest,
+    snapshot_as_of=_snapshot_as_of,
+    snapshot_dates=_snapshot_dates,
+    usage_layer=_usage_layer,
+    account_metrics_stored=_fact_from_layer,
     retention_metrics=lambda t: history.retention_metrics(t.contracts, date(1999, 6, 30), AS_OF),
     success_kpis=lambda t: history.success_kpis(
         account_fact(t, [EARLIER, SOON, AS_OF]), AS_OF, SOON, EARLIER

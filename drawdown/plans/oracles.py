@@ -757,6 +757,10 @@ _SQL["owner_as_of"] = """WITH signings AS (SELECT account_id, start_date, owner_
     SELECT d.account_id, d.date, (SELECT s.owner_id FROM signings s WHERE s.account_id = d.account_id AND s.start_date <= d.date ORDER BY s.start_date DESC LIMIT 1) AS owner_id
     FROM daily_known d"""
 _SQL["snapshot_latest"] = f"SELECT {_FACT_OUT} FROM fact"
+_SQL["snapshot_as_of"] = f"SELECT {_FACT_OUT} FROM fact_s2"
+_SQL["account_metrics_stored"] = _SQL["account_metrics"]
+_SQL["usage_layer"] = """SELECT account_id, date, sum(CAST(round(compute_credits_consumed * 10000) AS BIGINT)) / 10000.0 AS credits_consumed, count(*) AS log_count
+    FROM logs GROUP BY account_id, date"""
 _SQL["snapshot_dates"] = """SELECT DISTINCT as_of_date FROM (SELECT as_of_date FROM active UNION ALL SELECT as_of_date FROM active_s1 UNION ALL SELECT as_of_date FROM active_s2)
     ORDER BY 1 DESC LIMIT 30"""
 _SQL["retention_metrics"] = f"""WITH b AS (SELECT account_id, sum(annual_commit_dollars) AS begin_c, arg_min(end_date, (start_date, contract_id)) AS primary_end

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -77,6 +79,48 @@ def read_snapshots(spark: SparkSession, path: str, schema: T.StructType) -> Data
     return spark.read.schema(schema).parquet(path)
 
 
+def stored_dates(spark: SparkSession, path: str, n: int | None = 30) -> DataFrame:
+    """as_of_date of the stored snapshots, newest first.
+
+    The dates come from the partitions' folder names; no file is opened.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .option("pathGlobFilter", "*.parquet")
+        .option("recursiveFileLookup", "true")
+        .load(path)
+        .select(F.to_date(F.regexp_extract("path", r"/as_of_date=(\d{4}-\d{2}-\d{2})/", 1)).alias("as_of_date"))
+    )
+    newest = listed.distinct().orderBy(F.desc("as_of_date"))
+    return newest if n is None else newest.limit(n)
+
+
+def read_latest(
+    spark: SparkSession, path: str, schema: T.StructType, as_of: date, fallback: str = "latest"
+) -> DataFrame:
+    """One stored snapshot: the newest that is not after ``as_of``, read from its own partition.
+
+    If all stored dates lie after ``as_of``, ``latest`` takes the newest of all,
+    ``none`` gives no rows. ``exact`` gives no rows unless the very date is stored,
+    and ``all`` every row then.
+    """
+    dates = stored_dates(spark, path, None)
+    day = F.lit(as_of)
+    upto = F.max(F.when(F.col("as_of_date") <= day, F.col("as_of_date")))
+    exact = F.max(F.when(F.col("as_of_date") == day, day))
+    best = {
+        "latest": F.coalesce(upto, F.max("as_of_date")),
+        "none": upto,
+        "exact": exact,
+        "all": exact,
+    }[fallback]
+    found = dates.agg(best.alias("best")).first()["best"]
+    stored = read_snapshots(spark, path, schema)
+    if found is None and fallback == "all":
+        return stored
+    return stored.filter(F.col("as_of_date") == F.lit(found).cast("date"))
+
+
 def register_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
