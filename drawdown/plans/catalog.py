@@ -25,13 +25,15 @@ from drawdown.operators import (
     views,
 )
 from drawdown.operators.metrics import account_fact, with_rep
-from drawdown.session import materialise, work_dir
+from drawdown.session import materialise, state_store, work_dir
 from drawdown.sources import files, tpch, usage_store
-from drawdown.streaming import jobs
+from drawdown.streaming import jobs, low_use
 
 AS_OF = tpch.AS_OF
 RUN_TS = datetime(2000, 6, 30, 8, 0, 0)
 SNAPSHOTS = [date(1999, 12, 31), date(2000, 3, 31), date(2000, 6, 30)]
+#: The later part of the events' month is delivered first.
+LATE_FROM = datetime(2024, 1, 16)
 #: Columns of a stored snapshot without the run's time.
 FACT = T.StructType([f for f in ACCOUNT_FACT.fields if f.name != "calculated_at"])
 SOON = AS_OF - timedelta(days=90)
@@ -394,6 +396,39 @@ def _stream_daily_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.daily_table(spark, path)
 
 
+def _stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sums and late rows of the events in two deliveries, the later half of the month first.
+
+    What the second delivery brings for days already final is late.
+    """
+    root = work_dir(spark, "late")
+    events = tpch.raw(spark, sf_dir, "events")
+    later = F.coalesce(F.col("ts") >= F.lit(LATE_FROM), F.lit(False))
+    write = jobs.daily_with_late(f"{root}/daily", f"{root}/late")
+    for kept in (later, ~later):
+        events.filter(kept).write.mode("append").parquet(f"{root}/events")
+        source = spark.readStream.schema(events.schema).parquet(f"{root}/events")
+        query = (
+            jobs.usage_events(source)
+            .writeStream.trigger(availableNow=True)
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .foreachBatch(write)
+            .start()
+        )
+        query.awaitTermination()
+    daily = jobs.daily_sums(spark, f"{root}/daily").withColumn("route", F.lit("daily"))
+    late = (
+        jobs.late_rows(spark, f"{root}/late")
+        .groupBy("account_id", "date")
+        .agg(
+            F.sum(F.col("credits").cast("decimal(28,12)")).cast("double").alias("credits_consumed"),
+            F.count(F.lit(1)).alias("log_count"),
+        )
+        .withColumn("route", F.lit("late"))
+    )
+    return daily.unionByName(late)
+
+
 def _stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event arrives twice; one of each remains."""
     twice = _events(spark, sf_dir).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
@@ -445,11 +480,35 @@ def _stream_inactivity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def event_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream of one 40-day contract per customer; twenty allowances."""
+    reader = spark.readStream.schema(tpch.raw_schema("customer")).option("pathGlobFilter", "customer.parquet")
+    key = F.col("c_custkey")
+    start = F.date_add(F.lit(date(2023, 12, 25)), (key % 20).cast("int"))
+    return reader.parquet(sf_dir).select(
+        key.alias("account_id"),
+        start.alias("start_date"),
+        F.date_add(start, 39).alias("end_date"),
+        (18000 + 6000 * (key % 4)).alias("included_monthly_compute_credits"),
+    )
+
+
+def _stream_low_use(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days in a row under 5% of the allowance; the events span one month."""
+    with state_store(spark):
+        stream = low_use.low_use_alerts(_events(spark, sf_dir), event_terms(spark, sf_dir), days=3)
+        path = jobs.run_available(spark, stream, "low-use")
+    alerts = spark.read.schema(low_use.ALERTS).parquet(path)
+    return alerts.withColumn("credits_in_run", F.col("credits_in_run").cast("double"))
+
+
 _QUERIES["stream_daily_usage"] = _stream_daily
 _QUERIES["stream_daily_usage_all"] = _stream_daily_all
+_QUERIES["stream_late_usage"] = _stream_late
 _QUERIES["stream_dedup"] = _stream_dedup
 _QUERIES["stream_guarded"] = _stream_guarded
-_QUERIES["stream_inactivity"] = _stream_inactivity
+_QUERIES["stream_silence"] = _stream_inactivity
+_QUERIES["stream_inactivity"] = _stream_low_use
 
 
 def queries() -> dict[str, Query]:

@@ -825,11 +825,23 @@ _SQL["stream_daily_usage"] = """SELECT * FROM (SELECT user_id AS account_id, CAS
     FROM events GROUP BY ALL) WHERE date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""
 _SQL["stream_daily_usage_all"] = """SELECT user_id AS account_id, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) AS credits_consumed, count(*) AS log_count,
     CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY AS is_final FROM events WHERE ts IS NOT NULL GROUP BY user_id, CAST(ts AS DATE)"""
+_SQL["stream_late_usage"] = """WITH e AS (SELECT *, ts >= TIMESTAMP '2024-01-16' OR CAST(ts AS DATE) + INTERVAL 1 DAY > (SELECT max(ts) FROM events) - INTERVAL 2 DAY AS ok FROM events)
+    SELECT user_id AS account_id, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) AS credits_consumed, count(*) AS log_count,
+      CASE WHEN coalesce(ok, FALSE) THEN 'daily' ELSE 'late' END AS route FROM e GROUP BY user_id, CAST(ts AS DATE), coalesce(ok, FALSE)"""
 _SQL["stream_dedup"] = "SELECT event_id AS log_id, user_id AS account_id, CAST(ts AS DATE) AS date, value AS credits FROM events"
 _SQL["stream_guarded"] = """SELECT event_id AS log_id, user_id AS account_id, CAST(ts AS DATE) AS date, value AS credits,
     CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id AND CAST(ts AS DATE) BETWEEN DATE '2023-12-25' + CAST(c_custkey % 20 AS INTEGER)
       AND DATE '2023-12-25' + CAST(c_custkey % 20 AS INTEGER) + 15) THEN 'accepted' ELSE 'rejected' END AS route FROM events"""
-_SQL["stream_inactivity"] = """WITH s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS island FROM
+_SQL["stream_inactivity"] = """WITH used AS (SELECT user_id, CAST(ts AS DATE) AS day, sum(CAST(value AS DECIMAL(28,12))) AS credits FROM events GROUP BY ALL),
+    term AS (SELECT c_custkey AS account_id, DATE '2023-12-25' + CAST(c_custkey % 20 AS INTEGER) AS s, 18000 + 6000 * (c_custkey % 4) AS allowance FROM customer),
+    days AS (SELECT account_id, allowance, CAST(unnest(generate_series(s, s + 39, INTERVAL 1 DAY)) AS DATE) AS day FROM term),
+    low AS (SELECT d.account_id, d.day, coalesce(u.credits, 0) AS credits,
+        d.day - CAST(row_number() OVER (PARTITION BY d.account_id ORDER BY d.day) AS INTEGER) AS island
+      FROM days d LEFT JOIN used u ON u.user_id = d.account_id AND u.day = d.day
+      WHERE d.day + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY AND CAST(coalesce(u.credits, 0) AS DOUBLE) * 30 / allowance < 0.05)
+    SELECT account_id, min(day) AS quiet_since, min(day) + 2 AS flagged_on, CAST(sum(credits) FILTER (WHERE place <= 3) AS DOUBLE) AS credits_in_run
+    FROM (SELECT *, row_number() OVER (PARTITION BY account_id, island ORDER BY day) AS place FROM low) GROUP BY account_id, island HAVING count(*) >= 3"""
+_SQL["stream_silence"] = """WITH s AS (SELECT *, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts) AS island FROM
       (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 12 HOUR THEN 0 ELSE 1 END AS fresh FROM events))
     SELECT user_id AS account_id, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS silent_since, count(*) AS events_before FROM s GROUP BY user_id, island
     HAVING max(ts) + INTERVAL 12 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR"""

@@ -109,6 +109,82 @@ def daily_table(spark: SparkSession, path: str, lateness: str = "2 days") -> Dat
     )
 
 
+def daily_with_late(
+    path: str, late_path: str, lateness: str = "2 days"
+) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` writer of daily totals that keeps what comes too late.
+
+    Each batch is split by the newest event time of all batches before it, less
+    ``lateness``: rows of days still open go to the daily sums at ``path``, rows
+    of days that were final already go to ``late_path`` as they are. Rows without
+    a time are late too, so every event is in exactly one of the two. The mark
+    is read from what earlier batches left (one row a batch), so a replayed batch
+    splits as it did before and replaces its own rows in both places.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        mark = _mark(spark, f"{path}-marks", batch_id)
+        gap = F.expr(f"interval {lateness}")
+        rows = batch.withColumn("date", utc_clock(F.col("ts")).cast("date")).withColumn(
+            "batch_id", F.lit(batch_id).cast("long")
+        )
+        if mark is None:
+            final = F.lit(False)
+        else:
+            final = F.date_add("date", 1).cast("timestamp_ntz") <= F.lit(mark) - gap
+        late = F.coalesce(final, F.lit(True)) | F.col("ts").isNull()
+        daily = (
+            rows.filter(~late)
+            .groupBy("account_id", "date", "batch_id")
+            .agg(
+                F.sum(F.col("credits").cast("decimal(28,12)")).alias("credits"),
+                F.count(F.lit(1)).alias("log_count"),
+            )
+        )
+        _replace(daily, path)
+        _replace(rows.filter(late).select("log_id", "account_id", "date", "credits", "batch_id"), late_path)
+        newest = rows.groupBy("batch_id").agg(F.max(utc_clock(F.col("ts"))).alias("newest"))
+        _replace(newest, f"{path}-marks")
+
+    return write
+
+
+def _replace(rows: DataFrame, path: str) -> None:
+    """Rows of one batch in its own partition; a replay replaces them."""
+    (
+        rows.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch_id")
+        .parquet(path)
+    )
+
+
+def _mark(spark: SparkSession, path: str, batch_id: int):
+    """Newest event time of the batches before one; a row a batch is read."""
+    if batch_id == 0:
+        return None
+    marks = spark.read.schema("newest TIMESTAMP_NTZ, batch_id BIGINT").parquet(path)
+    return marks.filter(F.col("batch_id") < batch_id).agg(F.max("newest")).first()[0]
+
+
+def daily_sums(spark: SparkSession, path: str) -> DataFrame:
+    """account_id, date, credits_consumed, log_count from what ``daily_with_late`` wrote."""
+    stored = spark.read.schema(
+        "account_id BIGINT, date DATE, credits DECIMAL(38,12), log_count BIGINT, batch_id BIGINT"
+    ).parquet(path)
+    return stored.groupBy("account_id", "date").agg(
+        F.sum("credits").cast("double").alias("credits_consumed"), F.sum("log_count").alias("log_count")
+    )
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """log_id, account_id, date, credits of the rows that came after their day was final."""
+    return spark.read.schema(
+        "log_id BIGINT, account_id BIGINT, date DATE, credits DOUBLE, batch_id BIGINT"
+    ).parquet(path).drop("batch_id")
+
+
 def dedup(stream: DataFrame, lateness: str = "2 days") -> DataFrame:
     """First occurrence of each log id within the watermark."""
     return stream.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["log_id"])

@@ -15,9 +15,9 @@ from drawdown.operators.calendar import dim_dates
 from drawdown.operators.metrics import account_fact
 from drawdown.plans import catalog
 from drawdown.plans.batch_run import build_all
-from drawdown.session import materialise, work_dir
+from drawdown.session import materialise, state_store, work_dir
 from drawdown.sources import files, tpch
-from drawdown.streaming import jobs
+from drawdown.streaming import jobs, low_use
 from tests.build import AS_OF, contract, d, log, rows, tables
 
 
@@ -267,3 +267,90 @@ def test_every_query_has_an_oracle(spark):
 
 def test_daily_updates_equal_the_oracle_over_all_days(spark, sf_dir):
     test_query_equals_oracle(spark, sf_dir, "stream_daily_usage_all")
+
+
+def _terms(spark, tmp_path, deliveries):
+    schema = "account_id long, start_date date, end_date date, included_monthly_compute_credits double"
+    for i, rows_ in enumerate(deliveries):
+        data = [(a, d(s), d(e), c) for a, s, e, c in rows_]
+        spark.createDataFrame(data, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/terms/part={i}")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/terms/part=*")
+
+
+def test_low_use_fires_on_low_use_and_on_silence_and_once_per_run(spark, tmp_path):
+    """Allowance 300 a month, 10 a day: a day under 0.5 is low; three in a row raise an alert."""
+    batches = [
+        [(1, 1, "2024-01-01T10:00", 9.0), (2, 1, "2024-01-02T10:00", 0.25), (3, 1, "2024-01-02T11:00", 0.125)],
+        [(4, 1, "2024-01-04T10:00", 0.0625), (5, 3, "2024-01-04T10:00", 5.0)],
+        [(6, 1, "2024-01-07T10:00", 9.0)],
+        [(8, 3, "2024-01-20T00:00", 5.0), (7, 1, "2024-01-02T00:00", 9.0)],  # the last is late and dropped
+    ]
+    deliveries = [
+        [(1, "2024-01-01", "2024-01-31", 300.0), (2, "2024-01-03", "2024-01-05", 300.0)],
+        [(4, "2024-01-05", "2024-01-06", 300.0)],
+        [(3, "2024-01-02", "2024-01-31", 0.0)],
+    ]
+    with state_store(spark):
+        stream = low_use.low_use_alerts(
+            _stream(spark, tmp_path, batches, "low"), _terms(spark, tmp_path, deliveries), days=3, lateness="1 day"
+        )
+        got = spark.read.schema(low_use.ALERTS).parquet(jobs.run_available(spark, stream, "t")).collect()
+    assert sorted((r.account_id, r.quiet_since, r.flagged_on, float(r.credits_in_run)) for r in got) == [
+        (1, d("2024-01-02"), d("2024-01-04"), 0.4375),  # low use, not silence; longer runs say nothing new
+        (1, d("2024-01-08"), d("2024-01-10"), 0.0),
+        (2, d("2024-01-03"), d("2024-01-05"), 0.0),  # never sent an event; account 4's term is too short, 3 has no allowance
+    ]
+
+
+def test_low_use_goes_on_from_its_checkpoint(spark, tmp_path):
+    """A restart with the same checkpoint repeats nothing and forgets nothing."""
+    term = [(1, "2024-01-01", "2024-01-31", 300.0)]
+    parts = [[(1, 1, "2024-01-01T10:00", 9.0), (2, 9, "2024-01-04T12:00", 1.0)], [(3, 9, "2024-01-06T12:00", 1.0)]]
+    with state_store(spark):
+        for n in (1, 2, 2):
+            if n == 1 or not (tmp_path / "again/part=1").exists():
+                batch = [(e, u, datetime.fromisoformat(t), v) for e, u, t, v in parts[n - 1]]
+                frame = spark.createDataFrame(batch, "event_id long, user_id long, ts timestamp_ntz, value double")
+                frame.coalesce(1).write.parquet(f"{tmp_path}/again/part={n - 1}")
+            source = spark.readStream.schema(frame.schema).parquet(f"{tmp_path}/again/part=*")
+            terms = _terms(spark, tmp_path, [term] if n == 1 and not (tmp_path / "terms").exists() else [])
+            alerts = low_use.low_use_alerts(jobs.usage_events(source), terms, days=3, lateness="0 seconds")
+            query = (
+                alerts.writeStream.trigger(availableNow=True)
+                .option("checkpointLocation", f"{tmp_path}/checkpoint")
+                .format("parquet").option("path", f"{tmp_path}/alerts").start()
+            )
+            query.awaitTermination()
+            got = [r.quiet_since for r in spark.read.schema(low_use.ALERTS).parquet(f"{tmp_path}/alerts").collect()]
+            assert got == ([] if n == 1 else [d("2024-01-02")])
+
+
+def test_late_rows_and_daily_sums_hold_every_event_once_and_survive_a_replay(spark, tmp_path):
+    batches = [
+        [(1, 1, "2024-01-05T10:00", 5.0), (2, 1, "2024-01-01T10:00", 0.1)],  # nothing is final in the first batch
+        [(3, 1, "2024-01-05T11:00", 2.0), (4, 1, "2024-01-03T23:00", 3.0), (5, 2, "2024-01-02T23:59", 7.0)],
+        [(6, 2, "2024-01-09T00:00", 1.0), (7, 1, "2024-01-03T05:00", 1.0)],
+        [(8, 1, "2024-01-06T23:00", 4.0), (9, 1, "2024-01-07T00:00", 4.0), (10, 1, "2024-01-03T05:00", 1.0)],
+    ]
+    daily, late = f"{tmp_path}/daily", f"{tmp_path}/late"
+    write = jobs.daily_with_late(daily, late)
+    kept = []
+
+    def keep(batch, batch_id):
+        kept.append((spark.createDataFrame(batch.collect(), batch.schema), batch_id))
+        write(batch, batch_id)
+
+    jobs.run_available(spark, _stream(spark, tmp_path, batches, "late-rows"), "t", foreach=keep)
+
+    def got():
+        sums = {(r.account_id, r.date): (r.credits_consumed, r.log_count) for r in jobs.daily_sums(spark, daily).collect()}
+        return sums, sorted(r.log_id for r in jobs.late_rows(spark, late).collect())
+
+    want = {
+        (1, d("2024-01-05")): (7.0, 2), (1, d("2024-01-01")): (0.1, 1), (1, d("2024-01-03")): (4.0, 2),
+        (2, d("2024-01-09")): (1.0, 1), (1, d("2024-01-07")): (4.0, 1),
+    }
+    assert got() == (want, [5, 8, 10])
+    for batch, batch_id in (kept[1], kept[3], kept[3]):
+        write(batch, batch_id)
+    assert got() == (want, [5, 8, 10])
