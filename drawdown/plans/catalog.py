@@ -502,7 +502,8 @@ def _stream_low_use(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alerts.withColumn("credits_in_run", F.col("credits_in_run").cast("double"))
 
 
-_QUERIES["stream_daily_usage"] = _stream_daily
+_QUERIES["stream_daily_usage"] = _stream_daily_all
+_QUERIES["stream_daily_usage_final"] = _stream_daily
 _QUERIES["stream_daily_usage_all"] = _stream_daily_all
 _QUERIES["stream_late_usage"] = _stream_late
 _QUERIES["stream_dedup"] = _stream_dedup

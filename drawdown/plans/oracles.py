@@ -821,10 +821,11 @@ _SQL["scd2_contracts"] = f"""WITH p AS (SELECT DISTINCT c.*, d.day FROM all_cont
     lead(day) OVER (PARTITION BY contract_id ORDER BY day) - 1 AS valid_to, lead(day) OVER (PARTITION BY contract_id ORDER BY day) IS NULL AS is_current FROM k"""
 
 # Streams: what is final once the watermark has passed
-_SQL["stream_daily_usage"] = """SELECT * FROM (SELECT user_id AS account_id, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) AS credits_consumed, count(*) AS log_count
+_SQL["stream_daily_usage_final"] = """SELECT * FROM (SELECT user_id AS account_id, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) AS credits_consumed, count(*) AS log_count
     FROM events GROUP BY ALL) WHERE date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""
 _SQL["stream_daily_usage_all"] = """SELECT user_id AS account_id, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) AS credits_consumed, count(*) AS log_count,
     CAST(ts AS DATE) + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY AS is_final FROM events WHERE ts IS NOT NULL GROUP BY user_id, CAST(ts AS DATE)"""
+_SQL["stream_daily_usage"] = _SQL["stream_daily_usage_all"]
 _SQL["stream_late_usage"] = """WITH e AS (SELECT *, ts >= TIMESTAMP '2024-01-16' OR CAST(ts AS DATE) + INTERVAL 1 DAY > (SELECT max(ts) FROM events) - INTERVAL 2 DAY AS ok FROM events)
     SELECT user_id AS account_id, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) AS credits_consumed, count(*) AS log_count,
       CASE WHEN coalesce(ok, FALSE) THEN 'daily' ELSE 'late' END AS route FROM e GROUP BY user_id, CAST(ts AS DATE), coalesce(ok, FALSE)"""
