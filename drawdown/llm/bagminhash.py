@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drawdown.llm.common import ship, whole
+from drawdown.llm.common import free_names, ship, whole
 from drawdown.llm.graph import components
 from drawdown.session import materialise
 
@@ -313,9 +313,9 @@ def report(documents: DataFrame) -> DataFrame:
 
 def dedup(documents: DataFrame) -> DataFrame:
     """One document of each class, with all its columns; texts without words stay."""
+    doc, key = free_names(documents.columns, "_id", "_key")
     gone = _classed(documents).filter(F.col("key") != F.col("class")).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
+        F.col("doc_id").alias(doc), F.col("text_key").alias(key)
     )
-    key = F.xxhash64(whole(documents["text"]))
-    same = documents["doc_id"].eqNullSafe(F.col("_id")) & (key == F.col("_key"))
+    same = documents["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(whole(documents["text"])) == F.col(key))
     return documents.join(gone, same, "left_anti")

@@ -25,6 +25,18 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
+def free_names(columns: list[str], *names: str) -> list[str]:
+    """The names, lengthened where a table already has such a column (in any case of letters)."""
+    taken = {c.lower() for c in columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def whole(text: Column | str) -> Column:
     """The text, with null as the empty text."""
     return F.coalesce(F.col(text) if isinstance(text, str) else text, F.lit(""))

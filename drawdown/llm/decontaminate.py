@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drawdown.llm.common import BROADCAST_ROWS, LOWER, UPPER, whole
+from drawdown.llm.common import BROADCAST_ROWS, LOWER, UPPER, free_names, whole
 
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -130,10 +130,11 @@ def report(documents: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFr
 
 def clean(documents: DataFrame, benchmark: DataFrame, size: int = 10) -> DataFrame:
     """The documents in which no window of the benchmark occurs, with all their columns."""
+    doc, key = free_names(documents.columns, "_dirty", "_key")
     dirty = (
         contamination(documents, benchmark, size)
         .filter(F.col("n_hit") > 0)
-        .select(F.col("doc_id").alias("_dirty"), F.col("text_key").alias("_key"))
+        .select(F.col("doc_id").alias(doc), F.col("text_key").alias(key))
     )
-    same = documents["doc_id"].eqNullSafe(F.col("_dirty")) & (F.xxhash64(whole(documents["text"])) == F.col("_key"))
+    same = documents["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(whole(documents["text"])) == F.col(key))
     return documents.join(dirty, same, "left_anti")

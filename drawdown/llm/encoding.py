@@ -67,8 +67,6 @@ class Encoder:
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_file(path)
-        # A control string inside a text is ordinary text.
-        tokenizer.encode_special_tokens = True
         self.kind = kind
         self.first = Pieces(tokenizer, "", kind == "word")
         self.rest = self.first if kind == "word" else Pieces(tokenizer, " ", False)

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from drawdown.llm.common import NOT_BLANK, let, whole
+from drawdown.llm.common import NOT_BLANK, free_names, let, whole
 from drawdown.session import materialise
 
 NO_ID = 9223372036854775807
@@ -264,23 +264,24 @@ def dedup(documents: DataFrame, edits: int = 2, min_chars: int = 20, emptied: bo
 
     A document whose every line with a word went stays without words, or goes too where `emptied` is false.
     """
+    doc, key, out = free_names(documents.columns, "_id", "_key", "_out")
     verdict = judged(documents, edits, min_chars).filter("pure").select("hash", "first", _goes().alias("goes"))
     marked = (
-        lines(documents.select("doc_id", "text"), F.xxhash64(whole("text")).alias("_key"))
-        .select("doc_id", "_key", "line_no", "hash")
+        lines(documents.select("doc_id", "text"), F.xxhash64(whole("text")).alias(key))
+        .select("doc_id", key, "line_no", "hash")
         .join(verdict, "hash")
         .filter(F.col("goes") | (_order() != F.col("first")))
-        .groupBy(F.col("doc_id").alias("_id"), "_key")
-        .agg(F.collect_set("line_no").alias("_out"))
+        .groupBy(F.col("doc_id").alias(doc), key)
+        .agg(F.collect_set("line_no").alias(out))
     )
-    same = documents["doc_id"].eqNullSafe(F.col("_id")) & (F.xxhash64(whole(documents["text"])) == F.col("_key"))
+    same = documents["doc_id"].eqNullSafe(F.col(doc)) & (F.xxhash64(whole(documents["text"])) == F.col(key))
     joined = documents.join(marked, same, "left")
 
     def without(pieces: Column) -> Column:
-        stay = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), F.col("_out"))
+        stay = F.array_except(F.sequence(F.lit(0), F.size(pieces) - 1), F.col(out))
         return F.array_join(F.transform(stay, lambda i: F.get(pieces, i)), "\n")
 
-    text = F.when(F.col("_out").isNull(), documents["text"]).otherwise(let(F.split(whole(documents["text"]), "\n"), without))
-    gone = F.col("_out").isNotNull() & ~F.col("text").rlike(NOT_BLANK)
-    cut = joined.select(*[text.alias(c) if c == "text" else documents[c] for c in documents.columns], "_out")
-    return (cut if emptied else cut.filter(~gone)).drop("_out")
+    text = F.when(F.col(out).isNull(), documents["text"]).otherwise(let(F.split(whole(documents["text"]), "\n"), without))
+    gone = F.col(out).isNotNull() & ~F.col("text").rlike(NOT_BLANK)
+    cut = joined.select(*[text.alias(c) if c == "text" else documents[c] for c in documents.columns], out)
+    return (cut if emptied else cut.filter(~gone)).drop(out)

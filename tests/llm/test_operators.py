@@ -265,7 +265,6 @@ def test_ids_come_back_exactly(spark, docs):
     texts = odd + [r.text for r in docs.collect()]
     for path, kind in ((WORD, "word"), (BYTE, "byte")):
         plain = Tokenizer.from_file(path)
-        plain.encode_special_tokens = True
         for text in texts:
             want = plain.encode(text or "", add_special_tokens=False).ids
             assert np.frombuffer(encoder(path, kind).encode(text), "<u4").tolist() == want
@@ -355,3 +354,29 @@ def test_planted_copies_leave_the_pipeline(spark, sf_dir):
     assert sorted(r.doc_id for r in before.collect()) == [0, 1, 2, 3, 8, 9, 10]
     packed = corpus_pipeline.STAGES[-1][1](spark, before, sf_dir)
     assert {r.doc_id for r in packed.collect()} == {0, 1, 2, 3, 8, 9, 10}
+
+
+@pytest.mark.parametrize("name", ["keep", "lines", "near", "clean"])
+def test_stages_with_columns_named_as_their_own(spark, name):
+    """Names that the stages use inside, in either case, come through with their values."""
+    odd = odd_docs(spark)
+    clash = ("_ID", "_key", "_out", "_dirty", "n_words", "stratum", "class", "text_key", "line_no", "kept", "_row")
+    wide = odd.withColumns({c: F.concat(F.lit(c), F.lit("!")) for c in clash})
+    want = sorted(map(str, everything(spark, odd)[name]().collect()))
+    got = everything(spark, wide)[name]()
+    assert got.columns == wide.columns
+    assert got.filter(~(F.col("_ID") == "_ID!")).count() == 0
+    assert sorted(map(str, got.select(*odd.columns).collect())) == want
+
+
+def test_ids_of_control_strings_are_the_library_s(spark):
+    from tokenizers import Tokenizer
+
+    rng = random.Random(9)
+    atoms = ["<|endoftext|>", "<|startoftext|>", "a", "The", " ", "  ", "\n", "<", "|>", "é", "'s", "."]
+    for path, kind in ((WORD, "word"), (BYTE, "byte")):
+        plain = Tokenizer.from_file(path)
+        for _ in range(500):
+            text = "".join(rng.choice(atoms) + rng.choice(["", " "]) for _ in range(rng.randint(1, 8)))
+            want = plain.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(encoder(path, kind).encode(text), dtype="<u4").tolist() == want
