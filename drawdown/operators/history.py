@@ -225,32 +225,6 @@ def success_kpis(facts: DataFrame, as_of: date, ramp_from: date, flagged_from: d
     return total.select(F.inline(rows))
 
 
-def run_log(
-    fact: DataFrame,
-    t: Tables,
-    run_id: str,
-    run_ts: datetime | None = None,
-    version: str = "1",
-    triggered_by: str = "manual",
-    is_correction: bool = False,
-) -> DataFrame:
-    """One audit row per snapshot date of a run."""
-    dims = [
-        df.agg(F.count(F.lit(1))).scalar() for df in (t.accounts, t.reps, valid_contracts(t.contracts))
-    ]
-    out = fact.groupBy("as_of_date").agg(F.count(F.lit(1)).alias("rows_written_fact")).select(
-        F.concat(F.lit(run_id + "-"), F.date_format("as_of_date", "yyyyMMdd")).alias("run_id"),
-        "as_of_date",
-        F.lit(version).alias("pipeline_version"),
-        F.lit(triggered_by).alias("triggered_by"),
-        F.lit("success").alias("status"),
-        "rows_written_fact",
-        (dims[0] + dims[1] + dims[2]).alias("rows_written_dims"),
-        F.lit(is_correction).alias("is_correction"),
-    )
-    return out if run_ts is None else out.withColumn("run_timestamp", F.lit(run_ts))
-
-
 def key_remap(
     source: DataFrame,
     target: DataFrame,

@@ -25,6 +25,7 @@ from drawdown.operators import (
     views,
 )
 from drawdown.operators.metrics import account_fact, with_rep
+from drawdown.plans import audit
 from drawdown.session import materialise, state_store, work_dir
 from drawdown.sources import files, tpch, usage_store
 from drawdown.streaming import jobs, low_use
@@ -313,6 +314,35 @@ def _fact_from_layer(t: Tables) -> DataFrame:
     return _six(_fact(replace(t, logs=stored)), "trailing_90d_avg_rate", "max_monthly_rate")
 
 
+def _run_logs(t: Tables) -> DataFrame:
+    """A run, a run whose second dimension fails, and a correction, as their writes logged them."""
+    spark = t.logs.sparkSession
+    root = work_dir(spark, "runs")
+    broken = t.reps.withColumn("name", F.raise_error(F.lit("no such rep")))
+    for run_id, reps, kind, note, approver in (
+        ("run", t.reps, "manual", None, None),
+        ("broken", broken, "scheduled", None, None),
+        ("again", t.reps, "correction", "late amendment", "finance"),
+    ):
+        layers = {
+            "account_fact": (_fact(t), "fact"),
+            "dim_accounts": (history.dim_accounts(t.accounts), "dim"),
+            "dim_reps": (history.dim_reps(reps), "dim"),
+            "dim_contracts": (contracts.valid_contracts(t.contracts), "dim"),
+        }
+        run = audit.AuditedRun(
+            spark, f"{root}/run_log", run_id, AS_OF, RUN_TS, triggered_by=kind, note=note, approved_by=approver
+        )
+        try:
+            with run:
+                for name, (df, layer) in layers.items():
+                    run.write(name, df, lambda out: files.write_table(out, f"{root}/{name}"), layer)
+        except Exception:
+            if run_id != "broken":
+                raise
+    return audit.read_run_log(spark, f"{root}/run_log")
+
+
 def _owner_days(t: Tables) -> DataFrame:
     days = usage.guarded_daily(t).select("account_id", "date")
     return contracts.owner_as_of(days, contracts.owner_history(t.contracts), "date")
@@ -335,7 +365,10 @@ _add(
     success_kpis=lambda t: history.success_kpis(
         account_fact(t, [EARLIER, SOON, AS_OF]), AS_OF, SOON, EARLIER
     ),
-    run_log=lambda t: history.run_log(_fact(t), t, "run"),
+    run_log=lambda t: _run_logs(t).filter("run_id = 'run-20000630'").drop(
+        "run_timestamp", "correction_note", "correction_approved_by", "failed_layer"
+    ),
+    run_log_all=lambda t: _run_logs(t).drop("run_timestamp"),
     key_remap=lambda t: history.key_remap(
         t.reps.select(
             (-1 - F.col("employee_id")).alias("employee_id"),

@@ -786,6 +786,13 @@ _SQL["success_kpis"] = " UNION ALL ".join(
 _SQL["run_log"] = f"""SELECT 'run-20000630' AS run_id, {D} AS as_of_date, '1' AS pipeline_version, 'manual' AS triggered_by, 'success' AS status,
     (SELECT count(*) FROM fact) AS rows_written_fact,
     (SELECT count(*) FROM accounts) + (SELECT count(*) FROM reps) + (SELECT count(*) FROM contracts) AS rows_written_dims, FALSE AS is_correction"""
+_RUN = f"""{D} AS as_of_date, '1' AS pipeline_version"""
+_SQL["run_log_all"] = f"""WITH n AS (SELECT (SELECT count(*) FROM fact) AS f, (SELECT count(*) FROM accounts) AS a,
+      (SELECT count(*) FROM reps) + (SELECT count(*) FROM contracts) AS rest)
+    SELECT 'run-20000630' AS run_id, {_RUN}, 'manual' AS triggered_by, 'success' AS status, f AS rows_written_fact, a + rest AS rows_written_dims,
+      FALSE AS is_correction, CAST(NULL AS VARCHAR) AS correction_note, CAST(NULL AS VARCHAR) AS correction_approved_by, CAST(NULL AS VARCHAR) AS failed_layer FROM n
+    UNION ALL SELECT 'broken-20000630', {_RUN}, 'scheduled', 'failed', f, a, FALSE, NULL, NULL, 'dim_reps' FROM n
+    UNION ALL SELECT 'again-20000630', {_RUN}, 'correction', 'success', f, a + rest, TRUE, 'late amendment', 'finance', NULL FROM n"""
 _SQL["key_remap"] = """WITH src AS (SELECT -1 - employee_id AS employee_id, name AS rep_name, region,
       CASE WHEN employee_id % 2 = 0 THEN 'Enterprise' ELSE segment END AS segment FROM reps),
     ns AS (SELECT *, row_number() OVER (PARTITION BY region, segment ORDER BY rep_name) - 1 AS i FROM src),

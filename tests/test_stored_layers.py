@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 from dataclasses import replace
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta
 from pathlib import Path
 
 import pytest
@@ -14,6 +14,8 @@ from drawdown.model import ACCOUNT_FACT
 from drawdown.operators import rates, usage
 from drawdown.operators.contracts import active_contracts
 from drawdown.operators.metrics import account_fact, account_metrics
+from drawdown.plans import audit
+from drawdown.plans.batch_run import build_all
 from drawdown.sources import files, usage_store
 from tests.build import AS_OF, contract, d, log, tables
 
@@ -190,3 +192,26 @@ def test_latest_snapshot_opens_one_partition(spark, gaps, tmp_path):
             file.write_bytes(b"not parquet")
             (file.parent / f".{file.name}.crc").unlink(missing_ok=True)
     assert one.count() > 15 and found(d("2025-05-15")) == {days[1]}
+
+
+def test_a_failing_layer_leaves_a_failed_run(spark, tmp_path):
+    t = tables(spark, [contract(1, 1, "2024-07-01", "2025-12-31")], [log(1, 1, "2025-05-10", 90)])
+    broken = replace(t, reps=t.reps.withColumn("region", F.raise_error(F.lit("no region"))))
+    stamp = datetime(2025, 7, 1, 8)
+    with pytest.raises(Exception, match="no region"):
+        build_all(spark, broken, AS_OF, str(tmp_path), stamp, "first")
+    failed = audit.read_run_log(spark, f"{tmp_path}/run_log").first()
+    assert (failed.run_id, failed.status, failed.failed_layer) == ("first-20250630", "failed", "dim_reps")
+    assert (failed.rows_written_fact, failed.rows_written_dims) == (1, 1)
+    done = build_all(spark, t, AS_OF, str(tmp_path), stamp, "second").outputs["run_log"].collect()
+    assert [(r.run_id, r.status, r.rows_written_fact, r.rows_written_dims) for r in done] == [("second-20250630", "success", 1, 3)]
+    assert audit.read_run_log(spark, f"{tmp_path}/run_log").count() == 2
+
+
+def test_a_correction_needs_a_note_and_an_approver(spark, tmp_path):
+    with pytest.raises(ValueError):
+        audit.AuditedRun(spark, str(tmp_path), "x", AS_OF, triggered_by="correction", note="why")
+    with audit.AuditedRun(spark, str(tmp_path), "x", AS_OF, triggered_by="correction", note="why", approved_by="who"):
+        assert audit.read_run_log(spark, str(tmp_path)).first().status == "running"
+    row = audit.read_run_log(spark, str(tmp_path)).first()
+    assert (row.status, row.is_correction, row.correction_note, row.correction_approved_by) == ("success", True, "why", "who")
