@@ -53,7 +53,7 @@ def scd2(
 
 
 # Fields an amendment may change, with their types.
-_AMENDABLE = {
+AMENDABLE = {
     "annual_commit_dollars": "bigint",
     "end_date": "date",
     "included_monthly_compute_credits": "bigint",
@@ -68,7 +68,7 @@ def _latest(group: DataFrame, keys: list[str]) -> DataFrame:
     rank = F.struct("effective_date", "created_at", "amendment_id", "new_value")
     columns = [
         F.max(F.when(F.col("field_changed") == name, rank))["new_value"].alias(f"new_{name}")
-        for name in _AMENDABLE
+        for name in AMENDABLE
     ]
     return group.groupBy(*keys).agg(*columns)
 
@@ -79,19 +79,19 @@ def contracts_as_of(contracts: DataFrame, amendments: DataFrame, as_of: date) ->
     amended = contracts.join(_latest(due, ["contract_id"]), "contract_id", "left")
     columns = []
     for name in contracts.columns:
-        if name in _AMENDABLE:
-            new = F.col(f"new_{name}").try_cast(_AMENDABLE[name])
+        if name in AMENDABLE:
+            new = F.col(f"new_{name}").try_cast(AMENDABLE[name])
             columns.append(F.coalesce(new, F.col(name)).alias(name))
         else:
             columns.append(F.col(name))
     return amended.select(*columns)
 
 
-def scd2_contracts(contracts: DataFrame, amendments: DataFrame) -> DataFrame:
-    """Versions of each contract: the signed one, then one per date that changed a field.
+def contract_observations(contracts: DataFrame, amendments: DataFrame) -> DataFrame:
+    """The amendable fields of each contract on its first day and on every day an amendment takes effect.
 
     Amendments are reduced to one row per contract and effective date before
-    any window runs over them.
+    any window runs over them. Unique per (contract_id, observed_on).
     """
     dated = _latest(amendments, ["contract_id", "effective_date"]).join(
         contracts.select("contract_id", "start_date"), "contract_id"
@@ -108,28 +108,33 @@ def scd2_contracts(contracts: DataFrame, amendments: DataFrame) -> DataFrame:
                 F.first(f"new_{n}", ignorenulls=True)
                 .over(order.rowsBetween(W.unboundedPreceding, W.unboundedFollowing))
                 .alias(f"new_{n}")
-                for n in _AMENDABLE
+                for n in AMENDABLE
             ],
             F.row_number().over(order).alias("_rn"),
         )
         .filter(F.col("_rn") == 1)
         .drop("_rn")
     )
-    opening = contracts.select("contract_id", F.col("start_date").alias("_day"), *_AMENDABLE)
+    opening = contracts.select("contract_id", F.col("start_date").alias("_day"), *AMENDABLE)
     values = [
         F.coalesce(F.col(f"new_{n}").try_cast(kind), F.col(n)).alias(n)
-        for n, kind in _AMENDABLE.items()
+        for n, kind in AMENDABLE.items()
     ]
     points = opening.join(merged, ["contract_id", "_day"], "full_outer").select(
         "contract_id", "_day", *values
     )
     carried = W.partitionBy("contract_id").orderBy("_day").rowsBetween(W.unboundedPreceding, 0)
-    filled = points.select(
+    return points.select(
         "contract_id",
-        "_day",
-        *[F.last(n, ignorenulls=True).over(carried).alias(n) for n in _AMENDABLE],
+        F.col("_day").alias("observed_on"),
+        *[F.last(n, ignorenulls=True).over(carried).alias(n) for n in AMENDABLE],
     )
-    return scd2(filled, "contract_id", "_day", list(_AMENDABLE))
+
+
+def scd2_contracts(contracts: DataFrame, amendments: DataFrame) -> DataFrame:
+    """Versions of each contract: the signed one, then one per date that changed a field."""
+    observed = contract_observations(contracts, amendments)
+    return scd2(observed, "contract_id", "observed_on", list(AMENDABLE))
 
 
 def retention_metrics(contracts: DataFrame, t0: date, t1: date) -> DataFrame:

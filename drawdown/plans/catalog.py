@@ -27,7 +27,7 @@ from drawdown.operators import (
 from drawdown.operators.metrics import account_fact, with_rep
 from drawdown.plans import audit
 from drawdown.session import materialise, state_store, work_dir
-from drawdown.sources import files, tpch, usage_store
+from drawdown.sources import dimension_store, fact_store, files, tpch, usage_store
 from drawdown.streaming import jobs, low_use
 
 AS_OF = tpch.AS_OF
@@ -409,6 +409,79 @@ _QUERIES["scd2_reps"] = lambda spark, sf_dir: history.scd2(
 )
 
 
+def _rep_dimension(spark: SparkSession, sf_dir: str) -> dimension_store.Dimension:
+    """Rep versions after four deliveries; the last one has days that the others had passed."""
+    dim = dimension_store.Dimension(
+        work_dir(spark, "dim-reps"), "employee_id", {"segment": "string"}, {"segment": "territory_reassignment"}, buckets=8
+    )
+    late = (F.col("employee_id") % 7 == 3) & (F.month("observed_on") == 4)
+    year = F.year("observed_on")
+    part = F.when(late, 3).when(year < 1997, 0).when(year < 1999, 1).otherwise(2)
+    rows = materialise(tpch.rep_changes(spark, sf_dir).withColumn("_part", part), "rep-changes")
+    for k in range(4):
+        dimension_store.merge(dim, rows.filter(F.col("_part") == k), "observed_on", RUN_TS)
+    return dim
+
+
+def _stored_reps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dimension_store.read(spark, _rep_dimension(spark, sf_dir)).drop("dw_created_at")
+
+
+def _stored_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Contract versions after two deliveries of what was known up to a date."""
+    dim = dimension_store.Dimension(
+        work_dir(spark, "dim-contracts"),
+        "contract_id",
+        dict(history.AMENDABLE),
+        dict.fromkeys(history.AMENDABLE, "contract_amendment"),
+        buckets=8,
+    )
+    rows = materialise(
+        history.contract_observations(tpch.contracts(spark, sf_dir), tpch.amendments(spark, sf_dir)), "contract-days"
+    )
+    before = F.year("observed_on") < 1998
+    for part in (before, ~before):
+        dimension_store.merge(dim, rows.filter(part), "observed_on", RUN_TS)
+    return dimension_store.read(spark, dim).drop("dw_created_at")
+
+
+def _bound_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The account fact bound to the version of its rep that held on the snapshot's day."""
+    fact = _fact(tpch.load(spark, sf_dir))
+    bound = dimension_store.bind(
+        fact, spark, _rep_dimension(spark, sf_dir), "employee_id", "as_of_date", "rep_surrogate_key", ["account_id"]
+    )
+    return bound.select("account_id", "as_of_date", "employee_id", "rep_surrogate_key", "health_tier", "cacv")
+
+
+def _corrected(spark: SparkSession, sf_dir: str) -> str:
+    """Three stored snapshots, then a correction of the last one for amendments that became known later."""
+    t = tpch.load(spark, sf_dir)
+    store = work_dir(spark, "fact-store")
+    fact_store.write(spark, store, _snapshots(t), "first", buckets=8)
+    amended = replace(t, contracts=_with_amendments(spark, sf_dir))
+    why = fact_store.Correction("amendments signed late", "revops", "cfo", paid_through=AS_OF, at=RUN_TS)
+    fact_store.write(spark, store, _fact(amended), "second", why, buckets=8)
+    return store
+
+
+def _fact_corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fact_store.corrections(spark, _corrected(spark, sf_dir)).drop("corrected_at")
+
+
+def _fact_provenance(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fact_store.read(spark, _corrected(spark, sf_dir)).select(
+        "account_id", "as_of_date", "health_tier", "cacv", "pipeline_run_id", "is_correction"
+    )
+
+
+_QUERIES["scd2_reps_stored"] = _stored_reps
+_QUERIES["scd2_contracts_stored"] = _stored_contracts
+_QUERIES["fact_bound"] = _bound_fact
+_QUERIES["fact_corrections"] = _fact_corrections
+_QUERIES["fact_provenance"] = _fact_provenance
+
+
 # Streams, each driven over the whole events table
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.event_stream(spark, sf_dir, tpch.raw_schema("events"))
@@ -484,6 +557,17 @@ def event_contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _routed(spark: SparkSession, root: str) -> DataFrame:
+    schema = "log_id BIGINT, account_id BIGINT, ts TIMESTAMP, credits DOUBLE, date DATE, batch_id BIGINT"
+
+    def read(kind: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{root}/{kind}").select(
+            "log_id", "account_id", "date", "credits", F.lit(kind).alias("route")
+        )
+
+    return read("accepted").unionByName(read("rejected"))
+
+
 def _stream_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = work_dir(spark, "guarded")
     accounts = tpch.accounts(spark, sf_dir).select("account_id")
@@ -491,14 +575,35 @@ def _stream_guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
         accounts, event_contracts(spark, sf_dir), f"{root}/accepted", f"{root}/rejected"
     )
     jobs.run_available(spark, _events(spark, sf_dir), "guarded-log", foreach=sink)
-    schema = "log_id BIGINT, account_id BIGINT, ts TIMESTAMP, credits DOUBLE, date DATE, batch_id BIGINT"
+    return _routed(spark, root)
 
-    def read(kind: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{root}/{kind}").select(
-            "log_id", "account_id", "date", "credits", F.lit(kind).alias("route")
-        )
 
-    return read("accepted").unionByName(read("rejected"))
+def _stream_guarded_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in two deliveries; before the second one every contract is extended by ten days."""
+    root = work_dir(spark, "guarded-versions")
+    known = event_contracts(spark, sf_dir)
+    state = {"version": "signed", "contracts": known}
+    sink = jobs.guarded(
+        tpch.accounts(spark, sf_dir).select("account_id"),
+        lambda: state["contracts"],
+        f"{root}/accepted",
+        f"{root}/rejected",
+        version=lambda: state["version"],
+    )
+    events = tpch.raw(spark, sf_dir, "events")
+    for part in (0, 1):
+        if part:
+            state |= {"version": "extended", "contracts": known.withColumn("end_date", F.date_add("end_date", 10))}
+        events.filter(F.col("event_id") % 2 == part).write.mode("append").parquet(f"{root}/events")
+        stream = jobs.usage_events(spark.readStream.schema(events.schema).parquet(f"{root}/events"))
+        query = (
+            stream.writeStream.trigger(availableNow=True)
+            .option("checkpointLocation", f"{root}/checkpoint")
+            .foreachBatch(sink)
+            .start()
+        )
+        query.awaitTermination()
+    return _routed(spark, root)
 
 
 def _stream_inactivity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -541,6 +646,7 @@ _QUERIES["stream_daily_usage_all"] = _stream_daily_all
 _QUERIES["stream_late_usage"] = _stream_late
 _QUERIES["stream_dedup"] = _stream_dedup
 _QUERIES["stream_guarded"] = _stream_guarded
+_QUERIES["stream_guarded_versions"] = _stream_guarded_versions
 _QUERIES["stream_silence"] = _stream_inactivity
 _QUERIES["stream_inactivity"] = _stream_low_use
 

@@ -827,6 +827,34 @@ _SQL["scd2_contracts"] = f"""WITH p AS (SELECT DISTINCT c.*, d.day FROM all_cont
     SELECT contract_id, annual_commit_dollars, end_date, included_monthly_compute_credits, day AS valid_from,
     lead(day) OVER (PARTITION BY contract_id ORDER BY day) - 1 AS valid_to, lead(day) OVER (PARTITION BY contract_id ORDER BY day) IS NULL AS is_current FROM k"""
 
+def _surrogate(key: str) -> str:
+    return f"{key} * 65536 + (valid_from - DATE '1970-01-01') AS surrogate_key"
+
+
+def _reason(key: str, reason: str) -> str:
+    return f"CASE WHEN row_number() OVER (PARTITION BY {key} ORDER BY valid_from) > 1 THEN '{reason}' END AS change_reason"
+
+
+_SQL["scd2_reps_stored"] = f"SELECT *, {_surrogate('employee_id')}, {_reason('employee_id', 'territory_reassignment')} FROM ({_SQL['scd2_reps']})"
+_SQL["scd2_contracts_stored"] = (
+    f"SELECT *, {_surrogate('contract_id')}, {_reason('contract_id', 'contract_amendment')} FROM ({_SQL['scd2_contracts']})"
+)
+_SQL["fact_bound"] = f"""SELECT f.account_id, f.as_of_date, f.employee_id, v.surrogate_key AS rep_surrogate_key, f.health_tier, f.cacv
+    FROM fact f LEFT JOIN (SELECT *, {_surrogate('employee_id')} FROM ({_SQL['scd2_reps']})) v
+    ON v.employee_id = f.employee_id AND f.as_of_date BETWEEN v.valid_from AND coalesce(v.valid_to, f.as_of_date)"""
+_SQL["fact_corrections"] = f"""SELECT md5('second|' || account_id || '|' || as_of_date) AS correction_id, 'second' AS pipeline_run_id, *, 'revops' AS corrected_by,
+    'amendments signed late' AS correction_reason, 'FY2000-Q4' AS comp_period_affected,
+    coalesce(old_cacv, 0) > coalesce(new_cacv, 0) AS clawback_triggered,
+    CASE WHEN coalesce(old_cacv, 0) > coalesce(new_cacv, 0) THEN round(coalesce(old_cacv, 0) - coalesce(new_cacv, 0), 2) END AS clawback_amount, 'cfo' AS approved_by
+    FROM (SELECT coalesce(o.account_id, n.account_id) AS account_id, {D} AS as_of_date,
+      o.cacv AS old_cacv, n.cacv AS new_cacv, o.health_tier AS old_health_tier, n.health_tier AS new_health_tier
+      FROM fact o FULL JOIN x_fact n ON n.account_id = o.account_id
+      WHERE o.account_id IS NULL OR n.account_id IS NULL OR o.cacv IS DISTINCT FROM n.cacv OR o.health_tier IS DISTINCT FROM n.health_tier)"""
+_SQL["fact_provenance"] = """SELECT account_id, as_of_date, health_tier, cacv, 'first' AS pipeline_run_id, FALSE AS is_correction FROM fact_s1
+    UNION ALL SELECT account_id, as_of_date, health_tier, cacv, 'first', FALSE FROM fact_s2
+    UNION ALL SELECT n.account_id, n.as_of_date, n.health_tier, n.cacv, CASE WHEN o IS NOT DISTINCT FROM n THEN 'first' ELSE 'second' END,
+      o.account_id IS NOT NULL AND o IS DISTINCT FROM n FROM x_fact n LEFT JOIN fact o ON o.account_id = n.account_id"""
+
 # Streams: what is final once the watermark has passed
 _SQL["stream_daily_usage_final"] = """SELECT * FROM (SELECT user_id AS account_id, CAST(ts AS DATE) AS date, CAST(sum(CAST(value AS DECIMAL(28,12))) AS DOUBLE) AS credits_consumed, count(*) AS log_count
     FROM events GROUP BY ALL) WHERE date + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 2 DAY"""
@@ -840,6 +868,9 @@ _SQL["stream_dedup"] = "SELECT event_id AS log_id, user_id AS account_id, CAST(t
 _SQL["stream_guarded"] = """SELECT event_id AS log_id, user_id AS account_id, CAST(ts AS DATE) AS date, value AS credits,
     CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id AND CAST(ts AS DATE) BETWEEN DATE '2023-12-25' + CAST(c_custkey % 20 AS INTEGER)
       AND DATE '2023-12-25' + CAST(c_custkey % 20 AS INTEGER) + 15) THEN 'accepted' ELSE 'rejected' END AS route FROM events"""
+_SQL["stream_guarded_versions"] = """SELECT event_id AS log_id, user_id AS account_id, CAST(ts AS DATE) AS date, value AS credits,
+    CASE WHEN EXISTS (SELECT 1 FROM customer WHERE c_custkey = user_id AND CAST(ts AS DATE) BETWEEN DATE '2023-12-25' + CAST(c_custkey % 20 AS INTEGER)
+      AND DATE '2023-12-25' + CAST(c_custkey % 20 AS INTEGER) + 15 + CASE WHEN event_id % 2 = 0 THEN 0 ELSE 10 END) THEN 'accepted' ELSE 'rejected' END AS route FROM events"""
 _SQL["stream_inactivity"] = """WITH used AS (SELECT user_id, CAST(ts AS DATE) AS day, sum(CAST(value AS DECIMAL(28,12))) AS credits FROM events GROUP BY ALL),
     term AS (SELECT c_custkey AS account_id, DATE '2023-12-25' + CAST(c_custkey % 20 AS INTEGER) AS s, 18000 + 6000 * (c_custkey % 4) AS allowance FROM customer),
     days AS (SELECT account_id, allowance, CAST(unnest(generate_series(s, s + 39, INTERVAL 1 DAY)) AS DATE) AS day FROM term),

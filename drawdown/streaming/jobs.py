@@ -12,10 +12,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from drawdown.functions import utc_clock, utc_instant
-from drawdown.operators.contracts import covered_spans
+from drawdown.functions import month_number, true_if, utc_clock, utc_instant
+from drawdown.operators.contracts import contract_months, is_covered
 from drawdown.operators.skew import salted_join
 from drawdown.session import work_dir
+from drawdown.sources import files, runs
 
 
 def event_stream(
@@ -190,38 +191,107 @@ def dedup(stream: DataFrame, lateness: str = "2 days") -> DataFrame:
     return stream.withWatermark("ts", lateness).dropDuplicatesWithinWatermark(["log_id"])
 
 
+INDEX = "account_id BIGINT, _month INT, covered_days BIGINT"
+Static = DataFrame | Callable[[], DataFrame]
+
+
+def _now(side: Static) -> DataFrame:
+    """A static side as it is now; a frame over files keeps the files it found when it was made, a function reads again."""
+    return side() if callable(side) else side
+
+
+def guard_version(accounts: DataFrame, contracts: DataFrame) -> str:
+    """A checksum of what the guards look at; equal rows in any order give the same text."""
+
+    def text(df: DataFrame) -> str:
+        digest = F.sha2(F.to_json(F.struct(*df.columns)), 256)
+        sums = [
+            F.sum(F.conv(F.substring(digest, 1 + 15 * i, 15), 16, 10).cast("decimal(20,0)")).cast("decimal(38,0)")
+            for i in range(2)
+        ]
+        row = df.agg(F.concat_ws(".", F.count(F.lit(1)).cast("string"), *[s.cast("string") for s in sums])).first()
+        return row[0]
+
+    spans = contracts.select("account_id", "start_date", "end_date")
+    return f"{text(accounts.select('account_id'))}-{text(spans)}"
+
+
+def guard_index(
+    accounts: DataFrame, contracts: DataFrame, path: str, version: str
+) -> DataFrame:
+    """Covered days per known account and month as a stored table; built when its version is not there yet.
+
+    Rows of a version count once its note in ``commits`` is written.
+    """
+    spark = accounts.sparkSession
+    commits = runs.table(spark, f"{path}/commits", "built BOOLEAN", "version STRING")
+    if commits.filter(F.col("version") == version).isEmpty():
+        grid = contract_months(
+            contracts.select("contract_id", "account_id", "start_date", "end_date").withColumn(
+                "included_monthly_compute_credits", F.lit(0).cast("long")
+            ),
+            accounts.select("account_id").distinct(),
+        )
+        rows = grid.filter(F.col("covered_days") != 0).select("account_id", "_month", "covered_days")
+        files.write_table(rows, f"{path}/grid/version={version}")
+        files.write_table(spark.createDataFrame([(True,)], "built BOOLEAN"), f"{path}/commits/version={version}")
+    return spark.read.schema(INDEX).parquet(f"{path}/grid/version={version}")
+
+
 def guarded(
-    accounts: DataFrame, contracts: DataFrame, accepted_path: str, rejected_path: str
+    accounts: Static,
+    contracts: Static,
+    accepted_path: str,
+    rejected_path: str,
+    index_path: str | None = None,
+    version: Callable[[], str] | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """A ``foreachBatch`` writer that routes rows by the account and contract guards.
 
-    Static sides are read per batch, so new contracts take effect. Both sinks
-    are partitioned by batch and overwrite only that partition, so a replayed
-    batch replaces its own rows.
+    The contracts of known accounts are kept as days covered per account and
+    month, stored under ``index_path`` (beside the accepted rows by default) once
+    for each version of the static sides. A batch meets the stored table in one
+    left join, which tags its rows, and the tag splits them. ``version`` names the
+    state of the static sides, such as a table's version number; without it a
+    checksum over both is computed each batch. Give the sides as functions where
+    their files change while the stream runs.
+
+    Both sinks are partitioned by batch and overwrite only that partition. A
+    batch notes the version that split it before it writes, so a replay splits
+    it the same way though contracts have changed since. Rows without an account
+    or a time are rejected.
     """
+    home = index_path or f"{accepted_path}-index"
+
+    def index(spark: SparkSession, batch_id: int) -> DataFrame:
+        notes = runs.table(spark, f"{home}/batches", "version STRING", "batch_id BIGINT")
+        noted = notes.filter(F.col("batch_id") == batch_id).first()
+        if noted:
+            return spark.read.schema(INDEX).parquet(f"{home}/grid/version={noted['version']}")
+        sides = _now(accounts), _now(contracts)
+        name = version() if version else guard_version(*sides)
+        found = guard_index(*sides, home, name)
+        files.write_table(spark.createDataFrame([(name,)], "version STRING"), f"{home}/batches/batch_id={batch_id}")
+        return found
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = (
-            batch.withColumn("date", utc_clock(F.col("ts")).cast("date"))
-            .withColumn("batch_id", F.lit(batch_id))
+        day = utc_clock(F.col("ts")).cast("date")
+        rows = batch.withColumn("date", day).withColumn("batch_id", F.lit(batch_id))
+        tagged = (
+            salted_join(
+                rows.withColumn("_month", month_number(F.col("date"))),
+                index(batch.sparkSession, batch_id),
+                ["account_id", "_month"],
+                "left",
+                ["log_id", "ts"],
+            )
+            .withColumn("_ok", true_if(is_covered(F.col("date"), F.col("covered_days"))))
+            .select(*rows.columns, "_ok")
             .persist()
         )
-        spans = covered_spans(contracts).join(
-            accounts.select("account_id"), "account_id", "left_semi"
-        )
-        inside = F.col("date").between(F.col("start_date"), F.col("end_date"))
-        for how, path in (("left_semi", accepted_path), ("left_anti", rejected_path)):
-            (
-                salted_join(
-                    rows, spans, ["account_id"], how, ["log_id", "ts"], residual=inside
-                )
-                .select(*rows.columns)
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id")
-                .parquet(path)
-            )
-        rows.unpersist()
+        for kept, path in ((F.col("_ok"), accepted_path), (~F.col("_ok"), rejected_path)):
+            _replace(tagged.filter(kept).drop("_ok"), path)
+        tagged.unpersist()
 
     return write
 
