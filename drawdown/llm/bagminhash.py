@@ -12,7 +12,10 @@ with the same multiset are one node beforehand. In each band bucket every node i
 a group of copies costs as many comparisons as it has members. Where a bucket still holds several components after that, the
 nodes outside its first node's component are compared with all others of the bucket, in the first bucket a pair shares. Two
 tests come before that, inside the join: 1 - similarity is a metric, so both must be about as far from the bucket's first node
-(exact), and they must agree in `AGREE` registers (at 0.8 the chance to agree in fewer is 1e-6). Similarities are verified on
+(exact), and they must agree in `AGREE` registers (at 0.8 the chance to agree in fewer is 1e-6). Nodes of buckets with `CROWD`
+rows or more left get a second signature of `LONG` registers for a sharper test of the same kind (`LONG_AGREE`, 1e-6 again), as
+short ones can't tell a group whose members are two thirds alike from one of near-duplicates. Pairs that it takes for similar
+(`LIKELY`) are verified first; what they link needs no more comparisons inside. Similarities are verified on
 the multisets themselves: sum of minima over sum of maxima. A class is a connected component of verified links.
 
 Defined results: a document without words is alone in its class; rows that repeat id and text are one document; a class is named
@@ -40,6 +43,11 @@ REGISTERS = BANDS * ROWS
 AGREE = 170
 #: Registers are compared by their lowest bits, bit by bit, in so many 64-bit words a bit.
 BITS, WORDS = 8, 4
+#: The second signature keeps one bit a register, so registers agree with probability 1 - (1 - similarity) / 2: 0.9 at 0.8, where
+#: a binomial of 2048 draws is under `LONG_AGREE` with probability 1e-6. Buckets of fewer than `CROWD` rows have few pairs,
+#: which are verified without it.
+LONG, LONG_AGREE, LIKELY = 2048, 1774, 1843
+CROWD = 24
 #: Processes handled at once.
 BLOCK = 150_000
 NODES = "doc_id BIGINT, text_key BIGINT, n_shingles BIGINT, bag1 BIGINT, bag2 BIGINT, bands ARRAY<BIGINT>, planes ARRAY<BIGINT>"
@@ -95,7 +103,7 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return float(low / high) if high else 0.0
 
 
-def signatures(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+def signatures(bags: list[tuple[np.ndarray, np.ndarray]], registers: int = REGISTERS) -> np.ndarray:
     """One row of registers per (non-empty) bag; equal registers hold the same point."""
     seeds, weights, starts, sizes, owner = [], [], [], [], []
     for k, (shingles, count) in enumerate(bags):
@@ -109,9 +117,9 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
             more = count > high
             shingles, count = shingles[more], count[more]
             level, low, high = level + 1, high, 2 * high
-    best = np.full(len(bags) * REGISTERS, ~np.uint64(0))
+    best = np.full(len(bags) * registers, ~np.uint64(0))
     if not seeds:
-        return best.reshape(len(bags), REGISTERS)
+        return best.reshape(len(bags), registers)
     state, weight, low, size, own = map(np.concatenate, (seeds, weights, starts, sizes, owner))
     time = np.zeros(len(state), dtype=np.float64)
     while len(state):
@@ -120,16 +128,16 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
         time = time - np.log(((state >> np.uint64(11)) + np.uint64(1)) * 2.0**-53) / size
         point = mix(state ^ _C)
         place = low + size * (point & np.uint64(0xFFFFF)) * 2.0**-20
-        at = own * REGISTERS + ((point >> np.uint64(32)) * np.uint64(REGISTERS) >> np.uint64(32)).astype(np.int64)
+        at = own * registers + ((point >> np.uint64(32)) * np.uint64(registers) >> np.uint64(32)).astype(np.int64)
         # Earlier points have smaller numbers: the bits of a positive float keep its order.
         value = (time.astype(np.float32).view(np.uint32).astype(np.uint64) << np.uint64(32)) | (mix(point) >> np.uint64(32))
         good = (place < weight) & (value < best[at])
         np.minimum.at(best, at[good], value[good])
-        last = best.reshape(len(bags), REGISTERS).max(axis=1)
+        last = best.reshape(len(bags), registers).max(axis=1)
         more = (time.astype(np.float32).view(np.uint32).astype(np.uint64) << np.uint64(32)) < last[own]
         if not more.all():
             state, time, weight, low, size, own = (x[more] for x in (state, time, weight, low, size, own))
-    return best.reshape(len(bags), REGISTERS)
+    return best.reshape(len(bags), registers)
 
 
 def band_keys(rows: np.ndarray) -> np.ndarray:
@@ -141,12 +149,14 @@ def band_keys(rows: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
-def bit_planes(rows: np.ndarray) -> np.ndarray:
-    """The lowest bits of all registers: `WORDS` words with the registers' first bits, then with their second ones, and so on."""
-    bits = np.unpackbits(rows.astype(np.uint8)[:, :, None], axis=2).transpose(0, 2, 1)
-    filled = np.zeros((len(rows), BITS, WORDS * 64), dtype=np.uint8)
-    filled[:, :, :REGISTERS] = bits
-    return np.packbits(filled, axis=2).reshape(len(rows), BITS * WORDS * 8).view(np.int64)
+def bit_planes(rows: np.ndarray, bits: int = BITS) -> np.ndarray:
+    """The lowest bits of all registers: words of 64 with the registers' first bits, then with their second ones, and so on."""
+    registers = rows.shape[1]
+    words = -(-registers // 64)
+    lowest = np.unpackbits(rows.astype(np.uint8)[:, :, None], axis=2)[:, :, 8 - bits :].transpose(0, 2, 1)
+    filled = np.zeros((len(rows), bits, words * 64), dtype=np.uint8)
+    filled[:, :, :registers] = lowest
+    return np.packbits(filled, axis=2).reshape(len(rows), bits * words * 8).view(np.int64)
 
 
 def agreement(a: Column, b: Column) -> Column:
@@ -158,6 +168,12 @@ def agreement(a: Column, b: Column) -> Column:
     return F.lit(REGISTERS) - differ
 
 
+def long_agreement(a: Column, b: Column) -> Column:
+    """In how many bits the second signatures agree; null where a node has none."""
+    differ = F.zip_with(a, b, lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    return F.lit(LONG) - F.aggregate(differ, F.lit(0), lambda total, x: total + x)
+
+
 def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
     names = [x.split()[0] for x in NODES.split(", ")]
@@ -194,6 +210,28 @@ def _describe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield block(rows)
 
 
+def _lengthen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Second signatures (node, long) of nodes and their texts."""
+
+    def block(nodes: list, bags: list) -> pa.RecordBatch:
+        planes = bit_planes(signatures(bags, LONG), 1)
+        offsets = pa.array(np.arange(len(bags) + 1, dtype=np.int32) * planes.shape[1])
+        lists = pa.ListArray.from_arrays(offsets, pa.array(planes.ravel()))
+        return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), lists], ["node", "long"])
+
+    for batch in batches:
+        nodes, bags, held = [], [], 0
+        for node, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            nodes.append(node)
+            bags.append(bag(text.as_py()))
+            held += len(bags[-1][0])
+            if held > BLOCK:
+                yield block(nodes, bags)
+                nodes, bags, held = [], [], 0
+        if nodes:
+            yield block(nodes, bags)
+
+
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         seen: dict[int, tuple] = {}
@@ -255,27 +293,46 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
         "placed",
     )
     contested = placed.filter(F.col("label") != F.col("hub_label")).select("key").distinct()
+    disputed = placed.join(contested, "key", "left_semi")
+    crowds = disputed.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= CROWD).select("key")
+    crowded = disputed.join(crowds, "key", "left_semi").select("node").distinct()
+    longer = texts.join(crowded, "node", "left_semi").mapInArrow(_lengthen, "node BIGINT, long ARRAY<BIGINT>")
+    longer = materialise(longer, "long")
     far = compared.select(F.col("a").alias("hub"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("far"))
     contested = materialise(
-        placed.join(contested, "key", "left_semi")
-        .join(far, ["hub", "node"], "left")
+        disputed.join(far, ["hub", "node"], "left")
         .join(reps.select("node", "bands", "planes"), "node")
-        .select("key", "node", "label", "hub_label", F.coalesce("far", F.lit(0.0)).alias("far"), "bands", "planes"),
+        .join(longer, "node", "left")
+        .select("key", "node", "label", "hub_label", F.coalesce("far", F.lit(0.0)).alias("far"), "bands", "planes", "long"),
         "contested",
     )
+    agree = long_agreement(F.col("l.long"), F.col("r.long"))
+    likely = _similar(_pairs(contested, F.coalesce(agree >= LIKELY, F.lit(False))), texts)
+    links = links.unionByName(likely)
+    settled = components(links).toDF("node", "settled")
+    contested = contested.join(settled, "node", "left").withColumn("settled", F.coalesce("settled", "node"))
+    open_still = (F.col("l.settled") != F.col("r.settled")) & F.coalesce(agree.between(LONG_AGREE, LIKELY - 1), F.lit(True))
+    more = _similar(_pairs(contested, open_still), texts)
+    return members.select("doc_id", "text_key", "node"), components(links.unionByName(more))
+
+
+def _pairs(contested: DataFrame, wanted: Column) -> DataFrame:
+    """Pairs of one bucket that its first node left open and that may be similar, each in the first bucket it shares."""
     left = contested.filter(F.col("label") != F.col("hub_label")).alias("l")
-    right = contested.alias("r")
-    rest = left.join(
-        right,
+    return left.join(
+        contested.alias("r"),
         (F.col("l.key") == F.col("r.key"))
         & (F.col("l.label") != F.col("r.label"))
         & ((F.col("l.node") < F.col("r.node")) | (F.col("r.label") == F.col("r.hub_label")))
         & (F.abs(F.col("l.far") - F.col("r.far")) <= 1 - SIMILAR + 1e-9)
         & (agreement(F.col("l.planes"), F.col("r.planes")) >= AGREE)
-        & (F.element_at(F.array_intersect("l.bands", "r.bands"), 1) == F.col("l.key")),
+        & (F.element_at(F.array_intersect("l.bands", "r.bands"), 1) == F.col("l.key"))
+        & wanted,
     ).select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
-    more = _verified(rest, texts).filter(F.col("similarity") >= SIMILAR)
-    return members.select("doc_id", "text_key", "node"), components(links.unionByName(more))
+
+
+def _similar(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    return _verified(pairs, texts).filter(F.col("similarity") >= SIMILAR)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -239,6 +239,41 @@ def test_agreement_counts_registers_with_equal_low_bytes(spark):
     assert got == [int((low[0] == r).sum()) for r in low]
 
 
+def test_second_signature_estimates_similarity(spark):
+    texts = [" ".join(f"w{k}" for k in range(low, low + 400)) for low in (0, 0, 20, 50, 5000)]
+    bags = [bagminhash.bag(t) for t in texts]
+    planes = bagminhash.bit_planes(bagminhash.signatures(bags, bagminhash.LONG), 1).tolist()
+    df = spark.createDataFrame([(planes[0], p) for p in planes] + [(planes[0], None)], "a ARRAY<LONG>, b ARRAY<LONG>")
+    got = [r.n for r in df.select(bagminhash.long_agreement(F.col("a"), F.col("b")).alias("n")).collect()]
+    assert got[0] == got[1] == bagminhash.LONG and got[5] is None
+    for n, other in zip(got, bags):
+        assert abs(2 * n / bagminhash.LONG - 1 - bagminhash.similarity(bags[0], other)) < 0.1
+
+
+@pytest.mark.parametrize("crowd", [1, 24])
+def test_crowded_buckets_by_brute_force(spark, monkeypatch, crowd):
+    """Many copies of one text, each changed in some places: most pairs are two thirds alike, some are near-duplicates."""
+    monkeypatch.setattr(bagminhash, "CROWD", crowd)
+    rng = random.Random(17)
+    base = [f"w{k}" for k in range(300)]
+    texts = []
+    for _ in range(120):
+        copy = list(base)
+        for at in rng.sample(range(300), rng.choice((1, 3, 4, 5, 6, 7))):
+            copy[at] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(copy))
+    bags, label = [bagminhash.bag(t) for t in texts], list(range(len(texts)))
+    open_pairs = 0
+    for i in range(len(texts)):
+        for j in range(i + 1, len(texts)):
+            open_pairs += 0.6 < bagminhash.similarity(bags[i], bags[j]) < 0.8
+            if label[i] != label[j] and bagminhash.similarity(bags[i], bags[j]) >= 0.8:
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id LONG, text STRING")
+    assert open_pairs > 3000 and len(set(label)) > 3
+    assert {r.doc_id: r.class_id for r in bagminhash.report(df).collect()} == dict(enumerate(label))
+
+
 def test_near_duplicate_classes_by_brute_force(spark):
     rng = random.Random(8)
     texts = [words(rng, rng.randint(20, 120)) for _ in range(15)]
