@@ -44,9 +44,9 @@ AGREE = 170
 #: Registers are compared by their lowest bits, bit by bit, in so many 64-bit words a bit.
 BITS, WORDS = 8, 4
 #: The second signature keeps one bit a register, so registers agree with probability 1 - (1 - similarity) / 2: 0.9 at 0.8, where
-#: a binomial of 2048 draws is under `LONG_AGREE` with probability 1e-6. Buckets of fewer than `CROWD` rows have few pairs,
+#: a binomial of 4096 draws is under `LONG_AGREE` with probability 1e-6. Buckets of fewer than `CROWD` rows have few pairs,
 #: which are verified without it.
-LONG, LONG_AGREE, LIKELY = 2048, 1774, 1843
+LONG, LONG_AGREE, LIKELY = 4096, 3592, 3686
 CROWD = 24
 #: Processes handled at once.
 BLOCK = 150_000
