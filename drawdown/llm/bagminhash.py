@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from drawdown.llm.common import free_names, ship, whole
-from drawdown.llm.graph import components
+from drawdown.llm.graph import components, extended
 from drawdown.session import materialise
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -279,8 +279,7 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     ).join(wanted.select("node", "rep.*"), ["id", "text_key"])
     texts = materialise(texts.select("node", "text").dropDuplicates(["node"]), "texts")
     compared = _verified(stars, texts)
-    links = compared.filter(F.col("similarity") >= SIMILAR)
-    known = components(links)
+    known = components(compared.filter(F.col("similarity") >= SIMILAR))
 
     # What a bucket's first node did not settle.
     label = F.coalesce("label", "node")
@@ -308,12 +307,11 @@ def classes(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     agree = long_agreement(F.col("l.long"), F.col("r.long"))
     likely = _similar(_pairs(contested, F.coalesce(agree >= LIKELY, F.lit(False))), texts)
-    links = links.unionByName(likely)
-    settled = components(links).toDF("node", "settled")
-    contested = contested.join(settled, "node", "left").withColumn("settled", F.coalesce("settled", "node"))
+    known = extended(known, likely)
+    contested = contested.join(known.toDF("node", "settled"), "node", "left").withColumn("settled", F.coalesce("settled", "node"))
     open_still = (F.col("l.settled") != F.col("r.settled")) & F.coalesce(agree.between(LONG_AGREE, LIKELY - 1), F.lit(True))
     more = _similar(_pairs(contested, open_still), texts)
-    return members.select("doc_id", "text_key", "node"), components(links.unionByName(more))
+    return members.select("doc_id", "text_key", "node"), extended(known, more)
 
 
 def _pairs(contested: DataFrame, wanted: Column) -> DataFrame:
