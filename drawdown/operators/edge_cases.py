@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,9 +11,8 @@ from pyspark.sql import types as T
 from drawdown.functions import as_date, avg_exact, from_units, month_number, month_of, ratio, round_half_up
 from drawdown.model import OVERAGE_RATE, Tables
 from drawdown.operators.contracts import accounts_with_overlap
-from drawdown.operators.quality import out_of_contract
 from drawdown.operators.skew import by_month, salted_join
-from drawdown.operators.usage import daily_totals
+from drawdown.operators.usage import daily_totals, guarded_daily
 
 
 def _monthly_credits(t: Tables) -> DataFrame:
@@ -35,7 +33,18 @@ def spike_drop_accounts(
     t: Tables, spike_month: date | None = None, share: float = 0.80, rest: float = 100.0
 ) -> DataFrame:
     """Accounts whose first usage month (or a given one) holds nearly all their credits."""
-    monthly = _monthly_credits(t)
+    totals = _monthly_credits(t).groupBy("account_id").agg(*_spike_totals(spike_month))
+    part, left = _spike_share()
+    return totals.filter((part > share) & (left < rest)).select(
+        "account_id",
+        round_half_up(F.col("month_1"), 0).alias("month_1_credits"),
+        round_half_up(left, 0).alias("remaining_credits"),
+        round_half_up(part, 2).alias("month_1_share"),
+    )
+
+
+def _spike_totals(spike_month: date | None) -> list[Column]:
+    """Credits of the spike month and of all months, from account-months."""
     if spike_month is None:
         # min_by over account-months: one bounded row per month and account.
         spike = F.min_by("units", "usage_month")
@@ -43,17 +52,12 @@ def spike_drop_accounts(
         spike = F.sum(
             F.when(F.col("usage_month") == as_date(spike_month), F.col("units")).otherwise(0)
         )
-    totals = monthly.groupBy("account_id").agg(
-        from_units(spike).alias("month_1"), from_units(F.sum("units")).alias("total")
-    )
-    part = ratio(F.col("month_1"), F.col("total"))
-    left = F.col("total") - F.col("month_1")
-    return totals.filter((part > share) & (left < rest)).select(
-        "account_id",
-        round_half_up(F.col("month_1"), 0).alias("month_1_credits"),
-        round_half_up(left, 0).alias("remaining_credits"),
-        round_half_up(part, 2).alias("month_1_share"),
-    )
+    return [from_units(spike).alias("month_1"), from_units(F.sum("units")).alias("total")]
+
+
+def _spike_share() -> tuple[Column, Column]:
+    """The spike month's part of all credits, and what is left of them."""
+    return ratio(F.col("month_1"), F.col("total")), F.col("total") - F.col("month_1")
 
 
 def _accounts_with_logs(t: Tables) -> DataFrame:
@@ -126,27 +130,43 @@ def orphan_profile(t: Tables) -> DataFrame:
     return per_account.join(t.accounts.select("account_id"), "account_id", "left_anti")
 
 
+def _usage_counts(t: Tables, share: float = 0.80, rest: float = 100.0) -> DataFrame:
+    """One row with the four counts that need logs, from two scans of them.
+
+    Spikes, accounts without logs and orphaned logs come from one row per
+    account; what is covered by a contract has its own, guarded scan.
+    """
+    used = (
+        _monthly_credits(t)
+        .groupBy("account_id")
+        .agg(*_spike_totals(None), F.sum("log_count").alias("logs"))
+    )
+    known = t.accounts.groupBy(F.col("account_id").alias("_known")).agg(F.count(F.lit(1)).alias("rows"))
+    part, left = _spike_share()
+    unused, unknown = F.col("logs").isNull(), F.col("rows").isNull()
+    covered = guarded_daily(t).agg(F.coalesce(F.sum("log_count"), F.lit(0))).scalar()
+
+    def total(value: Column) -> Column:
+        return F.coalesce(F.sum(value), F.lit(0))
+
+    return used.join(known, F.col("account_id") == F.col("_known"), "full").agg(
+        F.count_if((part > share) & (left < rest)).alias("spike_drop_accounts"),
+        total(F.when(unused, F.col("rows"))).alias("shelfware_accounts"),
+        total(F.when(unknown, F.col("logs"))).alias("orphaned_usage"),
+        (total(F.when(~unknown, F.col("logs"))) - covered).alias("out_of_contract_usage"),
+    )
+
+
 def edge_case_scorecard(t: Tables, expected: dict[str, str] | None = None) -> DataFrame:
     """Counts of the five patterns next to what is expected of them."""
     labels = expected or {}
-    quiet = t.accounts.join(_accounts_with_logs(t), "account_id", "left_anti")
-    counts: list[tuple[str, DataFrame, Column]] = [
-        ("spike_drop_accounts", spike_drop_accounts(t), F.count(F.lit(1))),
-        ("shelfware_accounts", quiet, F.count(F.lit(1))),
-        (
-            "orphaned_usage",
-            orphan_profile(t),
-            F.coalesce(F.sum("orphan_log_count"), F.lit(0)),
-        ),
-        ("out_of_contract_usage", out_of_contract(t), F.max("row_count")),
-        ("accounts_with_overlap", accounts_with_overlap(t.contracts), F.count(F.lit(1))),
-    ]
-    rows = [
-        df.agg(n.alias("n")).select(
-            F.lit(name).alias("edge_case"),
-            F.col("n").alias("count"),
-            F.lit(labels.get(name, "any")).alias("expected"),
+
+    def row(name: str, n: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("edge_case"), n.alias("count"), F.lit(labels.get(name, "any")).alias("expected")
         )
-        for name, df, n in counts
-    ]
-    return reduce(DataFrame.unionByName, rows)
+
+    usage = _usage_counts(t)
+    rows = usage.select(F.inline(F.array(*[row(c, F.col(c)) for c in usage.columns])))
+    overlap = row("accounts_with_overlap", F.count(F.lit(1)))
+    return rows.unionByName(accounts_with_overlap(t.contracts).agg(overlap.alias("row")).select("row.*"))

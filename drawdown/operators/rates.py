@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -20,7 +20,7 @@ from drawdown.functions import (
 )
 from drawdown.model import OVERAGE_RATE, RAMP_DAYS, TRAILING_MONTHS, Tables
 from drawdown.operators.contracts import active_contracts, at_dates
-from drawdown.operators.usage import active_daily_usage
+from drawdown.operators.usage import active_daily_usage, daily_consumption
 
 
 def _recent_first(monthly: DataFrame, as_of, cutoff: str | None) -> DataFrame:
@@ -143,6 +143,16 @@ def rolling_rates(t: Tables, as_of: date, windows: tuple[int, ...] = (7, 30, 90)
     )
 
 
+def rolling_rates_since(t: Tables, as_of: date, since: date, windows: tuple[int, ...] = (7, 30, 90)) -> DataFrame:
+    """Rolling rates of the days from ``since`` to as-of.
+
+    The daily grain, and the logs read for it, begin one longest window before
+    ``since``, so the cost follows the days asked for and not the contracts.
+    """
+    daily = daily_consumption(t, as_of, since=since - timedelta(days=max(windows) - 1))
+    return rolling_rates_daily(daily, windows).filter(F.col("date") >= as_date(since))
+
+
 def rolling_rates_daily(daily: DataFrame, windows: tuple[int, ...] = (7, 30, 90)) -> DataFrame:
     """Rolling rates for every day of the (gapless) daily grain.
 
@@ -208,9 +218,11 @@ def _blocks(t: Tables, as_of: date, length: int, ramping_only: bool = False) ->
     grid = active.filter(whole > 0).withColumn(
         "block", F.explode(F.sequence(F.lit(0), (whole - 1).cast("int")))
     )
-    sparse = active_daily_usage(t, as_of)
+    # A ramping account's days all lie in the ramp, so only those leave the log scan.
+    sparse = active_daily_usage(t, as_of, days_back=RAMP_DAYS + 1 if ramping_only else None)
     used = (
-        sparse.filter(F.col("date").isNotNull())
+        sparse.join(active.select("account_id"), "account_id", "left_semi")
+        .filter(F.col("date").isNotNull())
         .withColumn("block", F.floor(F.datediff(as_date(as_of), F.col("date")) / length).cast("int"))
         .groupBy("account_id", "block")
         .agg(F.sum("units").alias("units"))

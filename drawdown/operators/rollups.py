@@ -114,14 +114,32 @@ def _ranked(rows: DataFrame, region: list[str]) -> DataFrame:
     )
 
 
+def in_value_order(rollup: DataFrame) -> DataFrame:
+    """Presentation order of the rep roll-up: consumed value, largest first."""
+    return rollup.orderBy(F.desc_nulls_last("total_cacv"), "employee_id", "as_of_date")
+
+
+def in_attainment_order(comp: DataFrame) -> DataFrame:
+    """Presentation order of the compensation view: newest snapshot first, best attainment first."""
+    return comp.orderBy(F.desc("as_of_date"), F.desc_nulls_last("cacv_attainment_rate"), "employee_id")
+
+
+def in_level_order(summary: DataFrame) -> DataFrame:
+    """Presentation order of the organisation summary: newest first, the org row before its regions."""
+    return summary.orderBy(F.desc("as_of_date"), "rollup_level", F.desc_nulls_last("attainment_rate"), "region")
+
+
 def rep_leaderboard(fact: DataFrame, reps: DataFrame) -> DataFrame:
     return rep_rollup(fact, reps).select(
         "employee_id", "rep_name", "region", "total_cacv", "region_rank", "org_rank"
     )
 
 
-def rep_portfolio(fact: DataFrame, reps: DataFrame) -> DataFrame:
-    """Rep view: ramping accounts count, but stay out of ``total_acv``."""
+def rep_portfolio(fact: DataFrame, reps: DataFrame, ranked: bool = True) -> DataFrame:
+    """Rep view: ramping accounts count, but stay out of ``total_acv``.
+
+    Without ranks nothing is written on the way and nothing runs before the result does.
+    """
     rows = rep_measures(fact).join(_named(reps), "employee_id").select(
         "employee_id",
         "rep_name",
@@ -151,7 +169,7 @@ def rep_portfolio(fact: DataFrame, reps: DataFrame) -> DataFrame:
         round_half_up(F.col("avg_rate"), 4).alias("avg_consumption_rate_90d"),
         "as_of_date",
     )
-    return _ranked(rows, ["region"])
+    return _ranked(rows, ["region"]) if ranked else rows
 
 
 def demo_rep_rollup(fact: DataFrame, reps: DataFrame) -> DataFrame:

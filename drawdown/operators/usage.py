@@ -346,14 +346,20 @@ def fact_monthly(t: Tables, as_of: date) -> DataFrame:
     return past.withColumn("month_index", index)
 
 
-def daily_consumption(t: Tables, as_of: date) -> DataFrame:
-    """One row per active account and day from contract start to as-of, zero-filled."""
+def daily_consumption(t: Tables, as_of: date, since: date | None = None) -> DataFrame:
+    """One row per active account and day from contract start (or ``since``, if later) to as-of, zero-filled."""
     active = active_contracts(t.contracts, t.accounts, as_of).select(
         "account_id", "contract_start_date", "included_monthly_compute_credits"
     )
-    days = F.sequence(F.col("contract_start_date"), as_date(as_of), F.expr("interval 1 day"))
+    begin = F.col("contract_start_date")
+    usage = guarded_daily(t, as_of + timedelta(days=1))
+    if since is not None:
+        begin = F.greatest(begin, as_date(since))
+        usage = usage.filter(F.col("date") >= as_date(since))
+        active = active.filter(begin <= as_date(as_of))
+    days = F.sequence(begin, as_date(as_of), F.expr("interval 1 day"))
     spine = active.withColumn("date", F.explode(days))
-    usage = guarded_daily(t, as_of + timedelta(days=1)).select("account_id", "date", "units")
+    usage = usage.select("account_id", "date", "units")
     credits = F.coalesce(from_units(F.col("units")), F.lit(0.0))
     allowance = F.col("included_monthly_compute_credits") / F.lit(30.0)
     return spine.join(usage, ["account_id", "date"], "left").select(

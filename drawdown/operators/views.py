@@ -135,6 +135,11 @@ def renewal_pipeline(owned: DataFrame, horizon_days: int = RENEWAL_HORIZON_DAYS)
     )
 
 
+def in_risk_order(detail: DataFrame) -> DataFrame:
+    """Presentation order of the account view: value at risk, largest first."""
+    return detail.orderBy(F.desc_nulls_last("acv_at_risk"), "account_id", "as_of_date")
+
+
 def in_urgency_order(register: DataFrame) -> DataFrame:
     """Presentation order of the register."""
     return register.orderBy("renewal_risk_score", F.desc_nulls_last("acv_at_risk"), "account_id")

@@ -283,6 +283,7 @@ _SQL["rolling_rates"] = f"""SELECT account_id, credits_7d, credits_30d, credits_
 _SQL["rolling_rates_daily"] = f"""SELECT account_id, date,
     {', '.join(f"{rnd(div(f'sum(CAST(daily_credits_consumed AS DECIMAL(18,2))) OVER (PARTITION BY account_id ORDER BY date ROWS BETWEEN {w - 1} PRECEDING AND CURRENT ROW)', f'included_monthly_compute_credits * {w} / 30.0'), 6)} AS rate_{w}d" for w in (7, 30, 90))}
     FROM day_grid"""
+_SQL["rolling_rates_since"] = f"SELECT * FROM ({_SQL['rolling_rates_daily']}) WHERE date >= date_trunc('month', {D})"
 _SQL["early_shelfware_streak"] = f"""WITH days AS (SELECT *, {div('daily_credits_consumed', 'included_monthly_compute_credits / 30.0')} AS r FROM day_grid),
     quiet AS (SELECT account_id, date, date - CAST(row_number() OVER (PARTITION BY account_id ORDER BY date) AS INTEGER) AS island FROM days WHERE r < 0.05),
     runs AS (SELECT account_id, min(date) AS s, max(date) AS e, count(*) AS n FROM quiet GROUP BY account_id, island)
@@ -384,6 +385,14 @@ _SQL["extract_crm"] = f"""SELECT account_id AS account, health_tier AS Health_Ti
 _SQL["extract_cs"] = f"""SELECT account_id, health_tier, {rnd("least(100.0, coalesce(trailing_90d_avg_rate, 0.0) * 100)", 2)} AS cs_health_score,
     {_CONFIDENCE} AS confidence, coalesce(current_zero_streak, 0) >= 2 AS outreach_flag, early_shelfware_flag, onboarding_stall_flag, spike_drop_early_flag
     FROM ({_DETAIL}) LEFT JOIN (SELECT account_id, current_zero_streak FROM ({_SQL['zero_streak']})) USING (account_id)"""
+_PARTS["owned_aged"] = """SELECT f.*, r.name AS rep_name, r.region, r.segment, r.manager_id, r.manager_name
+    FROM (SELECT * FROM fact WHERE account_id % 2 = 0 UNION ALL SELECT * FROM fact_s2 WHERE account_id % 2 <> 0) f
+    JOIN reps r ON r.employee_id = f.employee_id"""
+_AGED = _DETAIL.replace("owned", "owned_aged").replace(D, "as_of_date")
+_SQL["extract_cs_aged"] = f"""SELECT account_id, health_tier, {rnd("least(100.0, coalesce(trailing_90d_avg_rate, 0.0) * 100)", 2)} AS cs_health_score,
+    CASE WHEN {D} - as_of_date > 2 THEN 'Stale' ELSE {_CONFIDENCE} END AS confidence,
+    coalesce(current_zero_streak, 0) >= 2 AS outreach_flag, early_shelfware_flag, onboarding_stall_flag, spike_drop_early_flag
+    FROM ({_AGED}) LEFT JOIN (SELECT account_id, current_zero_streak FROM ({_SQL['zero_streak']})) USING (account_id)"""
 
 _TIERS = ("Expansion", "Healthy", "At Risk", "Shelfware", "Inactive", "Ramping")
 
