@@ -146,3 +146,14 @@ def test_hot_key_is_split_over_salts(spark):
     part = F.pmod(F.xxhash64("v"), F.lit(skew.SALTS))
     sizes = [r["count"] for r in big.groupBy(part).count().collect()]
     assert len(sizes) == skew.SALTS and max(sizes) < 2 * min(sizes)
+
+
+def test_salted_join_does_not_broadcast_the_copies(spark, tmp_path):
+    """A side that is small in its files is not broadcast once per part."""
+    spark.range(0, 300_000, 1, 2).withColumn("k", F.xxhash64("id")).write.parquet(f"{tmp_path}/small")
+    spark.range(0, 1000, 1, 2).select((F.xxhash64("id")).alias("k"), "id").write.parquet(f"{tmp_path}/big")
+    small, big = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("small", "big"))
+    joined = skew.salted_join(big, small.select("k"), ["k"], "left_anti", spread=["id"])
+    assert joined.count() == 0
+    plan = joined._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" not in plan
