@@ -347,7 +347,11 @@ def fact_monthly(t: Tables, as_of: date) -> DataFrame:
 
 
 def daily_consumption(t: Tables, as_of: date, since: date | None = None) -> DataFrame:
-    """One row per active account and day from contract start (or ``since``, if later) to as-of, zero-filled."""
+    """One row per active account and day from contract start (or ``since``, if later) to as-of, zero-filled.
+
+    Accounts meet their usage by month; the days of a month are spread after the
+    join, so no row of a single day without usage is shuffled or sorted.
+    """
     active = active_contracts(t.contracts, t.accounts, as_of).select(
         "account_id", "contract_start_date", "included_monthly_compute_credits"
     )
@@ -357,12 +361,25 @@ def daily_consumption(t: Tables, as_of: date, since: date | None = None) -> Data
         begin = F.greatest(begin, as_date(since))
         usage = usage.filter(F.col("date") >= as_date(since))
         active = active.filter(begin <= as_date(as_of))
-    days = F.sequence(begin, as_date(as_of), F.expr("interval 1 day"))
-    spine = active.withColumn("date", F.explode(days))
-    usage = usage.select("account_id", "date", "units")
+    used = usage.groupBy("account_id", "_month").agg(
+        F.collect_list(F.struct("date", "units")).alias("_used")
+    )
+    months = F.sequence(month_number(begin), month_number(as_date(as_of)))
+    spine = active.withColumn("_begin", begin).withColumn("_month", F.explode(months))
+    first = F.greatest("_begin", month_start(F.col("_month")))
+    last = F.least(as_date(as_of), F.last_day(month_start(F.col("_month"))))
+    taken = F.coalesce("_used", F.array().cast("array<struct<date:date,units:bigint>>"))
+    quiet = F.transform(
+        F.array_except(F.sequence(first, last, F.expr("interval 1 day")), taken["date"]),
+        lambda day: F.struct(day.alias("date"), F.lit(None).cast("bigint").alias("units")),
+    )
+    busy = F.filter(taken, lambda x: x["date"].between(first, last))
+    days = spine.join(used, ["account_id", "_month"], "left").select(
+        *active.columns, F.inline(F.concat(quiet, busy))
+    )
     credits = F.coalesce(from_units(F.col("units")), F.lit(0.0))
     allowance = F.col("included_monthly_compute_credits") / F.lit(30.0)
-    return spine.join(usage, ["account_id", "date"], "left").select(
+    return days.select(
         "account_id",
         "date",
         "contract_start_date",

@@ -125,3 +125,25 @@ def test_old_snapshots_are_stale(spark):
     streaks = spark.createDataFrame([], "account_id INT, current_zero_streak BIGINT")
     got = views.extract_cs(detail, streaks, F.datediff(F.lit(AS_OF), F.col("as_of_date"))).orderBy("account_id").collect()
     assert [r.confidence for r in got] == ["High", "Stale", "Stale"]
+
+
+def test_days_are_spread_after_accounts_meet_their_usage(spark):
+    """The join is by month; days without usage only come after it."""
+    t = fixture(spark)
+    twice = replace(t, accounts=t.accounts.unionByName(t.accounts.filter("account_id = 1")))
+    got = usage.daily_consumption(twice, AS_OF)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    outer = [line for line in plan.splitlines() if "Join LeftOuter" in line and "_known" not in line]
+    assert any("_month" in line for line in outer) and not any("date#" in line for line in outer)
+    one = [r for r in got.collect() if r.account_id == 1]
+    # A repeated account repeats its days, and its usage days once more.
+    assert len(one) == 181 * 2 + 3 * 2 and len({r.date for r in one}) == 181
+
+
+def test_run_log_computes_the_fact_once(spark, monkeypatch):
+    from drawdown.plans import catalog
+
+    t, calls, real = fixture(spark), [], catalog.account_fact
+    monkeypatch.setattr(catalog, "account_fact", lambda *a, **kw: calls.append(a) or real(*a, **kw))
+    rows = {r.run_id: r.rows_written_fact for r in catalog._run_logs(t).collect()}
+    assert len(calls) == 1 and len(rows) == 3 and len(set(rows.values())) == 1
