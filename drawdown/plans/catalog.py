@@ -332,6 +332,8 @@ def _run_logs(t: Tables) -> DataFrame:
     """A run, a run whose second dimension fails, and a correction, as their writes logged them."""
     spark = t.logs.sparkSession
     root = work_dir(spark, "runs")
+    # Each run writes the fact, which is the same for all; it is computed once.
+    fact = materialise(_fact(t), "run-fact")
     broken = t.reps.withColumn("name", F.raise_error(F.lit("no such rep")))
     for run_id, reps, kind, note, approver in (
         ("run", t.reps, "manual", None, None),
@@ -339,7 +341,7 @@ def _run_logs(t: Tables) -> DataFrame:
         ("again", t.reps, "correction", "late amendment", "finance"),
     ):
         layers = {
-            "account_fact": (_fact(t), "fact"),
+            "account_fact": (fact, "fact"),
             "dim_accounts": (history.dim_accounts(t.accounts), "dim"),
             "dim_reps": (history.dim_reps(reps), "dim"),
             "dim_contracts": (contracts.valid_contracts(t.contracts), "dim"),
