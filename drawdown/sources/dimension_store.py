@@ -181,7 +181,7 @@ def merge(dim: Dimension, observations: DataFrame, day: str, run_ts: datetime |
     seen_row = f"{dim.row}, day DATE, digest BINARY"
     there = [c.split()[0] for c in seen_row.split(", ")]
     batch = _observed(dim, observations, day).withColumn("bucket", _bucket(F.col(dim.key), dim.buckets))
-    runs.write(batch.select(*there, "bucket").repartition("bucket", dim.key), seen, run, "bucket")
+    runs.write(batch.select(*there, "bucket"), seen, run, "bucket")
     stored = runs.table(spark, seen, seen_row, "run INT, bucket INT")
     rows = stored.filter(F.col("run") == run).drop("run")
     total = rows.agg(F.count(F.lit(1)).alias("n"), F.max("day").alias("last")).first()
@@ -209,24 +209,26 @@ def merge(dim: Dimension, observations: DataFrame, day: str, run_ts: datetime |
     if written:
         here = F.col("bucket").isin(written)
         ordinary, again = touched.filter(~F.col("late")), touched.filter(F.col("late"))
-        heads = opened.filter(here).join(ordinary.select(dim.key), dim.key, "left_semi").select(
+        heads = opened.filter(here).select(
             dim.key, *dim.attributes, F.col("valid_from").alias("day"), "digest",
             F.col("dw_created_at").alias("created"), F.col("change_reason").alias("reason"),
         )
-        news = _fresh(rows.filter(here).join(ordinary.select(dim.key), dim.key, "left_semi").drop("bucket"))
-        made = _versions(dim, heads.unionByName(news), run_ts)
+        news = _fresh(rows.filter(here).drop("bucket"))
+        # The rows of a key meet once: the windows keep the order of this join.
+        points = heads.unionByName(news).join(ordinary.select(dim.key), dim.key, "left_semi")
+        made = _versions(dim, points, run_ts)
         rest = opened.filter(here).join(touched.select(dim.key), dim.key, "left_anti")
         if whole:
             made = made.unionByName(_rebuilt(dim, stored, opened, base, whole, again, run, run_ts))
         made = materialise(made, "dimension-versions")
         names = [c.split()[0] for c in dim.version.split(", ")]
         current = made.filter(F.col("valid_to").isNull()).unionByName(rest)
-        runs.write(current.select(*names, "bucket").repartition("bucket", dim.key), f"{dim.path}/current", run, "bucket")
+        runs.write(current.select(*names, "bucket"), f"{dim.path}/current", run, "bucket")
         closed = made.filter(F.col("valid_to").isNotNull())
         if whole:
             old = _closed(spark, dim, base, run - 1).filter(F.col("bucket").isin(whole))
             closed = closed.unionByName(old.join(again.select(dim.key), dim.key, "left_anti"))
-        runs.write(closed.select(*names, "bucket").repartition("bucket", dim.key), f"{dim.path}/closed", run, "bucket")
+        runs.write(closed.select(*names, "bucket"), f"{dim.path}/closed", run, "bucket")
         listed = [(r["bucket"], r["whole"]) for r in parts]
         runs.write(spark.createDataFrame(listed, PARTS), f"{dim.path}/parts", run)
     done = (max(total["last"], mark) if mark else total["last"], dim.buckets, total["n"], sum(r["n"] for r in parts))
