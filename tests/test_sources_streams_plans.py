@@ -302,6 +302,22 @@ def test_low_use_fires_on_low_use_and_on_silence_and_once_per_run(spark, tmp_pat
     ]
 
 
+def test_low_use_accounts_that_share_a_state_row_stay_apart(spark, tmp_path):
+    """Accounts of one group, one of them null, alert each by itself."""
+    terms = [(a, f"2024-01-0{n}", "2024-01-31", 300.0) for a, n in ((1, 1), (2, 2), (None, 3))]
+    events = [[(1, 2, "2024-01-03T10:00", 9.0)], [(2, 9, "2024-01-09T12:00", 1.0)]]
+    with state_store(spark):
+        stream = low_use.low_use_alerts(
+            _stream(spark, tmp_path, events, "shared"), _terms(spark, tmp_path, [terms]), days=3, lateness="0 seconds", groups=1
+        )
+        got = spark.read.schema(low_use.ALERTS).parquet(jobs.run_available(spark, stream, "t")).collect()
+    assert sorted(((r.account_id, r.quiet_since, r.flagged_on) for r in got), key=str) == [
+        (1, d("2024-01-01"), d("2024-01-03")),
+        (2, d("2024-01-04"), d("2024-01-06")),
+        (None, d("2024-01-03"), d("2024-01-05")),
+    ]
+
+
 def test_low_use_goes_on_from_its_checkpoint(spark, tmp_path):
     """A restart with the same checkpoint repeats nothing and forgets nothing."""
     term = [(1, "2024-01-01", "2024-01-31", 300.0)]
