@@ -102,7 +102,8 @@ def contract_months(
     the sum next to it (bits of days a month lacks may be set; no date asks for
     them). Contracts with the same dates are added up before they
     are spread over months. ``accounts`` clears it for accounts that do not
-    exist; ``before`` leaves out the month of that date and later ones.
+    exist, and an account that is there n times gets its rows n times; ``before``
+    leaves out the month of that date and later ones.
     """
     valid = valid_contracts(contracts)
     last = month_number(F.col("end_date"))
@@ -112,11 +113,19 @@ def contract_months(
     spans = valid.groupBy("account_id", "start_date", "end_date").agg(
         F.sum("included_monthly_compute_credits").alias("included_monthly_compute_credits")
     )
+    copies = F.lit(1).cast("long")
+    if accounts is not None:
+        # Accounts look small enough to broadcast in their files, but not once they are read.
+        # Spans meet them before they are spread, and their months stay where the join left them.
+        known = accounts.groupBy("account_id").agg(F.count(F.lit(1)).alias("_copies"))
+        spans = spans.join(known.hint("merge"), "account_id", "left")
+        copies = F.col("_copies")
     # Bits from the first day on, and bits up to the last day, once per span.
     one = F.lit(1).cast("long")
     months = spans.select(
         "account_id",
         "included_monthly_compute_credits",
+        copies.alias("_copies"),
         month_number(F.col("start_date")).alias("_first"),
         month_number(F.col("end_date")).alias("_last"),
         (-F.call_function("shiftleft", one, F.dayofmonth("start_date") - 1)).alias("_since"),
@@ -130,13 +139,16 @@ def contract_months(
     grid = months.groupBy("account_id", "_month").agg(
         F.sum("included_monthly_compute_credits").alias("included_monthly_compute_credits"),
         F.bit_or(days).alias("covered_days"),
+        F.max("_copies").alias("_copies"),
     )
     if accounts is None:
-        return grid
-    known = accounts.select("account_id", F.lit(True).alias("_known"))
-    covered = F.when(F.col("_known"), F.col("covered_days")).otherwise(F.lit(0))
+        return grid.drop("_copies")
+    covered = F.when(F.col("_copies").isNotNull(), F.col("covered_days")).otherwise(F.lit(0))
+    times = F.coalesce(F.col("_copies"), F.lit(1)).cast("int")
     return (
-        grid.join(known, "account_id", "left").withColumn("covered_days", covered).drop("_known")
+        grid.withColumn("covered_days", covered)
+        .withColumn("_copies", F.explode(F.array_repeat(F.lit(1), times)))
+        .drop("_copies")
     )
 
 

@@ -157,3 +157,23 @@ def test_salted_join_does_not_broadcast_the_copies(spark, tmp_path):
     assert joined.count() == 0
     plan = joined._jdf.queryExecution().sparkPlan().toString()
     assert "BroadcastHashJoin" not in plan
+
+
+def test_month_grid_does_not_broadcast_accounts(spark, tmp_path):
+    """Accounts grow with the input, so they never go through the driver, however small their files are."""
+    t = tables(spark, [(1, 5, 1, date(2025, 1, 10), date(2025, 2, 3), 0, 7, 12)])
+    spark.range(0, 300_000, 1, 2).withColumnRenamed("id", "account_id").write.parquet(f"{tmp_path}/accounts")
+    grid = contracts.contract_months(t.contracts, spark.read.parquet(f"{tmp_path}/accounts"))
+    assert "BroadcastHashJoin" not in grid._jdf.queryExecution().sparkPlan().toString()
+    assert sorted((r.account_id, r._month % 12) for r in grid.collect()) == [(5, 0), (5, 1)]
+
+
+def test_month_grid_of_repeated_unknown_and_null_accounts(spark):
+    """An account's rows come once per copy of it; an unknown one keeps its allowance and covers no day."""
+    rows = [(i, a, 1, date(2025, 1, 1), date(2025, 1, 2 + i), 0, 7, 12) for i, a in enumerate([1, 1, 2, 3, None])]
+    t = tables(spark, rows, accounts=[])
+    known = spark.createDataFrame([(1,), (1,), (2,), (None,), (9,)], "account_id BIGINT")
+    grid = contracts.contract_months(t.contracts, known)
+    assert grid.columns == ["account_id", "_month", "included_monthly_compute_credits", "covered_days"]
+    got = sorted((r.account_id or 0, r.included_monthly_compute_credits, r.covered_days) for r in grid.collect())
+    assert got == [(0, 7, 0), (1, 14, 7), (1, 14, 7), (2, 7, 15), (3, 7, 0)]
