@@ -89,8 +89,9 @@ def guarded_daily(t: Tables, before: date | None = None) -> DataFrame:
     months = contract_months(t.contracts, t.accounts).select(
         "account_id", "_month", "covered_days"
     )
+    # Contracts may look small enough to broadcast, but not once spread over months.
     return (
-        daily.join(months, ["account_id", "_month"])
+        daily.join(months.hint("merge"), ["account_id", "_month"])
         .filter(is_covered(F.col("date"), F.col("covered_days")))
         .select("account_id", "_month", "date", "units", "log_count")
     )

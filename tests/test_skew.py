@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+from dataclasses import replace
 from datetime import date, timedelta
 
 import pytest
@@ -168,6 +169,16 @@ def test_month_grid_does_not_broadcast_accounts(spark, tmp_path):
     assert sorted((r.account_id, r._month % 12) for r in grid.collect()) == [(5, 0), (5, 1)]
 
 
+def test_guard_does_not_broadcast_months(spark, tmp_path):
+    t = tables(spark, [contract(1, 5, "2025-01-10", "2025-02-03")], [log(1, 5, "2025-01-10", 2), log(2, 5, "2025-02-04", 2)])
+    for name in ("accounts", "contracts", "logs"):
+        getattr(t, name).write.parquet(f"{tmp_path}/{name}")
+    stored = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in ("accounts", "contracts", "logs")}
+    guarded = usage.guarded_daily(replace(t, **stored))
+    assert "BroadcastHashJoin" not in guarded._jdf.queryExecution().sparkPlan().toString()
+    assert [r.date for r in guarded.collect()] == [date(2025, 1, 10)]
+
+
 def test_month_grid_of_repeated_unknown_and_null_accounts(spark):
     """An account's rows come once per copy of it; an unknown one keeps its allowance and covers no day."""
     rows = [(i, a, 1, date(2025, 1, 1), date(2025, 1, 2 + i), 0, 7, 12) for i, a in enumerate([1, 1, 2, 3, None])]
