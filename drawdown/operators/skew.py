@@ -26,14 +26,12 @@ def salted_join(
     ``small`` has few rows per key and is repeated once per part, so a key that
     holds a third of ``big`` is shared by that many tasks. Only join types that
     keep or drop rows of ``big`` are meaningful (inner, left, semi, anti). The
-    parts come from a cross join and not from an explode, whose rows the
-    optimiser does not count: it would broadcast ``salts`` copies of a side that
-    is below its threshold only once and in compressed files.
+    optimiser counts neither the copies nor what files unpack to, and would
+    broadcast them all for a side below its threshold; the hint rules that out.
     """
-    part = F.pmod(F.xxhash64(*(spread or big.columns)), F.lit(salts))
+    part = F.pmod(F.xxhash64(*(spread or big.columns)), F.lit(salts)).cast("int")
     left = big.withColumn("_part", part)
-    parts = small.sparkSession.range(0, salts, 1, 1).withColumnRenamed("id", "_part")
-    right = small.crossJoin(F.broadcast(parts))
+    right = small.withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))).hint("merge")
     keys = [*on, "_part"]
     if residual is None:
         return left.join(right, keys, how).drop("_part")
