@@ -134,6 +134,66 @@ def test_language_model_sums_to_one():
     assert (10**each * many).sum() + 10**unseen == pytest.approx(1)
 
 
+def test_language_model_knows_every_context(spark):
+    train = [i for i in range(2000) if zlib.crc32(str(i).encode()) % 10]
+    test = [i for i in range(2000) if not zlib.crc32(str(i).encode()) % 10]
+    rows = [(i, f"a{k % 200} b{k % 200}") for k, i in enumerate(train)]
+    rows += [(test[0], "a199 b199"), (test[1], "a199 b198"), (test[2], "a3 b3"), (test[3], "a3 b198")]
+    got = {r.doc_id: r.score for r in hpy_lm.report(spark.createDataFrame(rows, "doc_id LONG, text STRING")).collect()}
+    assert got[test[0]] > got[test[1]] + 1 and got[test[2]] > got[test[3]] + 1
+
+
+def test_language_model_against_a_table_in_memory(spark):
+    rng = np.random.default_rng(4)
+    follows = rng.permutation(180)
+    texts = []
+    for _ in range(400):
+        row = [int(rng.zipf(1.3)) % 180]
+        while len(row) < 30:
+            row.append(int(follows[row[-1]]) if rng.random() < 0.4 else int(rng.zipf(1.3)) % 180)
+        texts.append([f"w{x}" for x in row])
+    held = [zlib.crc32(str(i).encode()) % 10 == 0 for i in range(len(texts))]
+    texts[held.index(True)][3:5] = ["never", "w0"]
+    names = {w: k for k, w in enumerate(sorted({w for t, h in zip(texts, held) if not h for w in t}))}
+    size = len(names) + 1  # the last is the end; another row is behind a word never seen, another column such a word
+    place = lambda w, i: names.get(w, size)
+    pairs = [[*zip([size - 1, *(place(w, i) for w in t)], [*(place(w, i) for w in t), size - 1])] for i, t in enumerate(texts)]
+    counts = np.zeros((size + 1, size), dtype=np.int64)
+    for row, h in zip(pairs, held):
+        for u, w in row if not h else ():
+            counts[u, w] += 1
+    want = []
+    for seed in range(4):
+        table = hpy_lm.fit_upper(counts, seed, hpy_lm.SEEN)
+        table = np.column_stack([table, np.log10(1 - (10**table).sum(axis=1))])
+        want.append([sum(table[u, w] for u, w in row) for row in pairs])
+    want, noise = np.mean(want, axis=0), np.std(want, axis=0).max()
+    df = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id LONG, text STRING")
+    for many in ({}, {"block_tokens": 3000, "frequent": 100}):
+        got = {r.doc_id: r for r in hpy_lm.report(df, **many).collect()}
+        assert len(got) == len(texts) and all(got[i].held_out == h for i, h in enumerate(held))
+        off = np.array([got[i].score for i in range(len(texts))]) - want
+        assert noise < 0.5 and np.abs(off).max() < 0.6 and np.abs(off.mean()) < 0.03
+        assert got[held.index(True)].n_known == 30
+
+
+def test_tables_of_a_dish():
+    mass, discount, share, customers = 0.7, 0.6, 0.3, 12
+    chances = np.zeros(customers + 1)
+    chances[1] = 1.0
+    for j in range(1, customers):
+        t = np.arange(customers + 1)
+        opens = mass + discount * share * t
+        new = opens / (opens + np.maximum(j - discount * t, 0))
+        chances = np.where(t <= j, chances * (1 - new), 0) + np.append(0, (chances * new)[:-1])
+    draws = hpy_lm.seat(np.full(40_000, customers), mass, discount, np.random.default_rng(0), share)
+    assert np.abs(np.bincount(draws.astype(int), minlength=customers + 1) / 40_000 - chances).max() < 0.012
+    two = hpy_lm.seat(np.full(40_000, 2), mass, discount, np.random.default_rng(0), share)
+    opens = mass + discount * share
+    assert (two == 2).mean() == pytest.approx(opens / (opens + 1 - discount), abs=0.012)
+    assert hpy_lm.seat(np.array([0, 1]), mass, discount, np.random.default_rng(0)).tolist() == [0, 1]
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
